@@ -104,3 +104,14 @@ def row_grams(words: np.ndarray, row: np.ndarray, n: int, whole_if_short: bool =
             order = np.argsort(rows, kind="stable")
             grams, rows, first = grams[order], rows[order], first[order]
     return grams, rows, first
+
+
+_NO_WORD = np.ones(256, bool)
+_NO_WORD[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
+
+
+def plain_word_hashes(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, row) of the runs of ASCII letters, digits and non-ASCII bytes, A-Z lower-cased; punctuation only separates."""
+    blank = np.where(_NO_WORD[data], np.uint8(0x20), data)
+    words, row, _, _ = word_hashes(blank, starts)
+    return words, row

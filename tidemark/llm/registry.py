@@ -7,11 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm._shared import id_crc32
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm import toxicity
+
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, _table(spark, sf_dir, "labels"), id_crc32("doc_id") % 4 != 2)
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", (id_crc32("doc_id") % 4 == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op2_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm.sharding import assign_shards
 
@@ -19,6 +30,14 @@ def op2_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op7_spectrum_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm import language_id
+
+    docs = _table(spark, sf_dir, "documents")
+    model = language_id.train(docs, id_crc32("doc_id") % 5 != 0)
+    return language_id.identify(docs, model).select("doc_id", (id_crc32("doc_id") % 5 == 0).alias("held_out"), "lang_pred", "score")
+
+
 def op10_bit_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm.token_output import encode_round_trip
 
@@ -27,7 +46,7 @@ def op10_bit_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_sampled_splitters, op10_bit_packed_ids)}
+    return {f.__name__: f for f in (op1_ftrl_toxicity, op2_sampled_splitters, op7_spectrum_kernel, op10_bit_packed_ids)}
 
 
 def oracle_sql() -> dict[str, str]:
