@@ -38,6 +38,28 @@ def op7_spectrum_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, model).select("doc_id", (id_crc32("doc_id") % 5 == 0).alias("held_out"), "lang_pred", "score")
 
 
+def op8_vector_approximation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.topk_search import top_k
+
+    return top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+OP8_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rn FROM pairs
+)
+SELECT query_id, CAST(rn AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rn <= 10
+"""
+
+
 def op10_bit_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm.token_output import encode_round_trip
 
@@ -46,8 +68,8 @@ def op10_bit_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_ftrl_toxicity, op2_sampled_splitters, op7_spectrum_kernel, op10_bit_packed_ids)}
+    return {f.__name__: f for f in (op1_ftrl_toxicity, op2_sampled_splitters, op7_spectrum_kernel, op8_vector_approximation, op10_bit_packed_ids)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_vector_approximation": OP8_SQL}
