@@ -30,6 +30,13 @@ def op2_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op3_backoff_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.lm_scoring import score_texts
+
+    scored = score_texts(_table(spark, sf_dir, "documents"), id_crc32("doc_id") % 7 != 2)
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op7_spectrum_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm import language_id
 
@@ -68,7 +75,7 @@ def op10_bit_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_ftrl_toxicity, op2_sampled_splitters, op7_spectrum_kernel, op8_vector_approximation, op10_bit_packed_ids)}
+    return {f.__name__: f for f in (op1_ftrl_toxicity, op2_sampled_splitters, op3_backoff_automaton, op7_spectrum_kernel, op8_vector_approximation, op10_bit_packed_ids)}
 
 
 def oracle_sql() -> dict[str, str]:
