@@ -6,14 +6,21 @@ distinct piece once and joining the ids gives the library's own result for the w
 
 from __future__ import annotations
 
+import json
 import os
+import re
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-#: Cached pieces in a worker, the longest that is cached, and characters of a text that are held as pieces at a time.
-CACHED, LONGEST, SEGMENT = 250_000, 48, 1 << 19
+#: Cached pieces of a generation, the longest that is cached, and characters of a text that are held as pieces at a time.
+CACHED, LONGEST, SEGMENT = 400_000, 48, 1 << 19
+
+
+#: Lower-case Latin letters, each one code point in composed form.
+_PLAIN = re.compile("[a-zß-öø-ÿ]+")
 
 
 def default_tokenizer_path() -> str:
@@ -41,38 +48,81 @@ def segments(text: str, size: int = SEGMENT) -> Iterator[str]:
     yield text
 
 
+def _splits_at_blanks(spec: dict) -> bool:
+    """Whether the tokenizer is of the kind that the cache is made for: it lower-cases, drops blanks, then cuts words from
+    numbers and signs. Others encode each text in one call."""
+    kinds = [x["type"] for x in (spec.get("normalizer") or {}).get("normalizers", [])]
+    cuts = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    return kinds == ["NFC", "Replace", "Lowercase"] and [x["type"] for x in cuts] == ["Split", "ByteLevel"] and cuts[0]["behavior"] == "Removed" and cuts[0]["invert"] and not cuts[1]["add_prefix_space"]
+
+
 class Encoder:
     """Encodes texts to uint32 ids without special tokens."""
 
     def __init__(self, tokenizer_json: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.vocab_size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.cache: dict[str, bytes] = {"": b""}
+        self.old: dict[str, bytes] = {}
+        self.by_piece = _splits_at_blanks(json.loads(tokenizer_json))
+        self.model = self.tokenizer.model
+        to_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.bytes_table = {c: to_bytes.pre_tokenize_str(chr(c))[0][0] for c in range(0xDF, 0x100)}
+        self.tails = dict(zip(".,", self._encode([".", ","]), strict=True))
 
     def _encode(self, pieces: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-
-    def _learn(self, pieces: Iterable[str]) -> dict[str, bytes]:
-        """Puts missing pieces into the cache; returns those that are too long to be kept."""
-        cache = self.cache
-        missing = [p for p in pieces if p not in cache]
-        if not missing:
-            return {}
-        if len(cache) + len(missing) > CACHED:
-            cache.clear()
-            cache[""] = b""
-            missing = list(pieces)
-        big = {}
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+
+    def _learn(self, pieces: set[str]) -> dict[str, bytes]:
+        """Puts missing pieces into the cache; returns those that are too long to be kept.
+
+        The cache has two generations: a full one becomes the old one, from which pieces in use are taken over. A piece is
+        put together from its stem and a last full stop or comma: the tokenizer splits these from a letter or digit, and
+        it lower-cases, so stems are kept in lower case alone where that is plain. A stem of plain letters is one word to
+        the normaliser and the splitter, so the library's model takes it directly, in the byte alphabet.
+        """
+        if len(self.cache) + len(pieces) > CACHED:
+            self.old, self.cache = self.cache, {"": b""}
+        cache, old = self.cache, self.old
+        whole: list[tuple[str, str, bytes]] = []
+        wanted: dict[str, None] = {}
+        for p in pieces:
+            if p in cache:
+                continue
+            if p in old:
+                cache[p] = old[p]
+                continue
+            stem, tail = (p[:-1], self.tails[p[-1]]) if p[-1] in self.tails and (p[-2:-1].lower().isalnum() and len(p[-2].lower()) == 1) else (p, b"")
+            low = stem.lower()
+            if stem.isascii() or (len(low) == len(stem) and _PLAIN.fullmatch(low)):
+                stem = low
+            whole.append((p, stem, tail))
+            if stem not in cache and stem not in old:
+                wanted[stem] = None
+        missing, big, plain = [], {}, _PLAIN.fullmatch
+        tokenize, table = self.model.tokenize, self.bytes_table
+        for p in wanted:
+            if plain(p):
+                ids = array("I", [t.id for t in tokenize(p.translate(table))]).tobytes()
+                (cache if len(p) <= LONGEST else big)[p] = ids
+            else:
+                missing.append(p)
         for k in range(0, len(missing), 20_000):
             part = missing[k : k + 20_000]
             for p, ids in zip(part, self._encode(part), strict=True):
                 (cache if len(p) <= LONGEST else big)[p] = ids
+        for p, stem, tail in whole:
+            ids = big.get(stem) or cache.get(stem) or old.get(stem, b"")
+            (cache if len(p) <= LONGEST else big)[p] = ids + tail
         return big
 
     def encode(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
         """One uint32 array for each text, in order."""
+        if not self.by_piece:
+            yield from (np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4") for t in texts)
+            return
         group: list[list[list[str]]] = []
         held = 0
         for text in texts:
