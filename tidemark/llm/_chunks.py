@@ -1,7 +1,7 @@
 """Chunks of documents as word streams, and the exchange that sums a key's counts over all chunks.
 
 A chunk is a run of whole documents with about CHUNK_BYTES of text, stored as one row: its sorted word hashes and, for
-every word of every document, an index into them. Corpus statistics go through `exchange`: each chunk sends every
+every word of every document, an index into them; `first` numbers its documents, uniquely in the table. Corpus statistics go through `exchange`: each chunk sends every
 distinct key once, with its own count, as compact arrays dealt by the key's first bits; the bucket that owns a key sums
 the counts and answers each chunk with totals, in the order of the keys it sent. So a key with any share of all
 rows costs one entry a chunk, and nothing that grows with the corpus is broadcast or collected.
@@ -17,11 +17,11 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm._shared import scratch, ship, text_bytes, text_chunks
+from tidemark.llm._shared import ship, text_bytes, text_chunks, written
 from tidemark.llm._words import word_hashes
 
 CHUNK_BYTES, BUCKET_TOKENS = 12 << 20, 1 << 20
-CHUNK = "chunk long, n_docs int, n_tokens long, doc_ids binary, marks binary, sizes binary, vocab binary, stream binary"
+CHUNK = "chunk long, first long, n_docs int, n_tokens long, doc_ids binary, marks binary, sizes binary, vocab binary, stream binary"
 REQUEST = "kind int, bucket int, chunk long, width int, keys binary, counts binary"
 RESPONSE = "kind int, bucket int, chunk long, totals binary, total long, distinct long"
 #: Rows are megabytes each, so the writer looks at its buffer after every row.
@@ -30,9 +30,15 @@ BIG_ROWS = {"compression": "zstd", "parquet.block.size.row.check.min": "1", "par
 
 def written_big(df: DataFrame, name: str) -> DataFrame:
     """A written table of rows that are large."""
-    uri = scratch(df.sparkSession, name)
-    df.write.options(**BIG_ROWS).parquet(uri)
-    return df.sparkSession.read.schema(df.schema).parquet(uri)
+    return written(df, name, **BIG_ROWS)
+
+
+def _zip(values: np.ndarray) -> bytes:
+    return pa.compress(values.tobytes(), "zstd", asbytes=True)
+
+
+def _unzip(blob: bytes, kind: type, n: int) -> np.ndarray:
+    return np.frombuffer(pa.decompress(blob, n * np.dtype(kind).itemsize, "zstd", asbytes=True), kind)
 
 
 def build_chunks(docs: DataFrame, mark: Column | None = None, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
@@ -43,7 +49,7 @@ def build_chunks(docs: DataFrame, mark: Column | None = None, id_col: str = "doc
     ship(docs.sparkSession)
 
     def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base, count = TaskContext.get().partitionId() << 32, 0
+        base, count, first = TaskContext.get().partitionId() << 40, 0, 0
         held: list[tuple] = []
         size = 0
 
@@ -51,8 +57,8 @@ def build_chunks(docs: DataFrame, mark: Column | None = None, id_col: str = "doc
             words = np.concatenate([h[3] for h in held])
             vocab, stream = np.unique(words, return_inverse=True)
             parts = [np.concatenate([h[k] for h in held]) for k in range(3)]
-            blobs = [parts[0].astype(np.int64), parts[1].astype(np.uint8), parts[2].astype(np.int32), vocab, stream.astype(np.int32)]
-            columns = [pa.array([base + count], pa.int64()), pa.array([len(parts[0])], pa.int32()), pa.array([len(words)], pa.int64()), *[pa.array([b.tobytes()], pa.binary()) for b in blobs]]
+            blobs = [parts[0].astype(np.int64).tobytes(), parts[1].astype(np.uint8).tobytes(), parts[2].astype(np.int32).tobytes(), vocab.tobytes(), _zip(stream.astype(np.int32))]
+            columns = [pa.array([base + count], pa.int64()), pa.array([base + first], pa.int64()), pa.array([len(parts[0])], pa.int32()), pa.array([len(words)], pa.int64()), *[pa.array([b], pa.binary()) for b in blobs]]
             return pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in CHUNK.split(", ")])
 
         for batch in text_chunks(batches, "text"):
@@ -62,6 +68,7 @@ def build_chunks(docs: DataFrame, mark: Column | None = None, id_col: str = "doc
             size += len(data) + 16 * batch.num_rows
             if size >= chunk_bytes:
                 yield row()
+                first += sum(len(h[0]) for h in held)
                 held, size, count = [], 0, count + 1
         if held:
             yield row()
@@ -74,12 +81,12 @@ class Chunk:
     """One row of the chunk table as arrays."""
 
     def __init__(self, row: dict):
-        self.id = row["chunk"]
+        self.id, self.first = row["chunk"], row["first"]
         self.doc_ids = np.frombuffer(row["doc_ids"], np.int64)
         self.marks = np.frombuffer(row["marks"], np.uint8).astype(bool)
         self.sizes = np.frombuffer(row["sizes"], np.int32)
         self.vocab = np.frombuffer(row["vocab"], np.uint64)
-        self.stream = np.frombuffer(row["stream"], np.int32)
+        self.stream = _unzip(row["stream"], np.int32, row["n_tokens"])
 
     @property
     def starts(self) -> np.ndarray:

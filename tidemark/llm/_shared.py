@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import os
 import tempfile
 import uuid
 import zipfile
 import zlib
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -47,11 +48,38 @@ def scratch(spark: SparkSession, name: str) -> str:
     return uri
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def _own_shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """A written table needs its job's shuffle files no more, so Spark may remove them as the job ends."""
+    before = spark.conf.get(CLEANUP, None)
+    try:
+        spark.conf.set(CLEANUP, "true")
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+
+
+def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     """df as a table in the shared folder, read back: cuts lineage and outlives any executor."""
-    uri = scratch(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(uri)
-    return df.sparkSession.read.schema(df.schema).parquet(uri)
+    spark = df.sparkSession
+    uri = scratch(spark, name)
+    with _own_shuffles_removed(spark):
+        df.write.options(**{"compression": "zstd"} | options).parquet(uri)
+    return spark.read.schema(df.schema).parquet(uri)
+
+
+def drop_written(*tables: DataFrame) -> None:
+    """Removes the files of tables that `written` made and that nothing reads any more."""
+    for table in tables:
+        for folder in {f.rpartition("/")[0] for f in table.inputFiles()}:
+            if "/tidemark-" in folder:
+                _delete(table.sparkSession, folder)
 
 
 def ship(spark: SparkSession) -> None:

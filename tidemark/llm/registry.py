@@ -37,6 +37,12 @@ def op3_backoff_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.jaccard_join import link_components
+
+    return link_components(_table(spark, sf_dir, "documents"))
+
+
 def op7_spectrum_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm import language_id
 
@@ -75,7 +81,7 @@ def op10_bit_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_ftrl_toxicity, op2_sampled_splitters, op3_backoff_automaton, op7_spectrum_kernel, op8_vector_approximation, op10_bit_packed_ids)}
+    return {f.__name__: f for f in (op1_ftrl_toxicity, op2_sampled_splitters, op3_backoff_automaton, op5_ngram_jaccard_join, op7_spectrum_kernel, op8_vector_approximation, op10_bit_packed_ids)}
 
 
 def oracle_sql() -> dict[str, str]:
