@@ -112,6 +112,10 @@ _NO_WORD[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x8
 
 def plain_word_hashes(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(hash, row) of the runs of ASCII letters, digits and non-ASCII bytes, A-Z lower-cased; punctuation only separates."""
-    blank = np.where(_NO_WORD[data], np.uint8(0x20), data)
-    words, row, _, _ = word_hashes(blank, starts)
+    words, row, _, _ = plain_word_spans(data, starts)
     return words, row
+
+
+def plain_word_spans(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, row, begin, end) of the same words."""
+    return word_hashes(np.where(_NO_WORD[data], np.uint8(0x20), data), starts)

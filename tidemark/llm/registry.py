@@ -73,6 +73,12 @@ SELECT query_id, CAST(rn AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rn
 """
 
 
+def op9_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.decontamination import find_leaks
+
+    return find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op10_bit_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm.token_output import encode_round_trip
 
@@ -81,7 +87,7 @@ def op10_bit_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_ftrl_toxicity, op2_sampled_splitters, op3_backoff_automaton, op5_ngram_jaccard_join, op7_spectrum_kernel, op8_vector_approximation, op10_bit_packed_ids)}
+    return {f.__name__: f for f in (op1_ftrl_toxicity, op2_sampled_splitters, op3_backoff_automaton, op5_ngram_jaccard_join, op7_spectrum_kernel, op8_vector_approximation, op9_benchmark_leaks, op10_bit_packed_ids)}
 
 
 def oracle_sql() -> dict[str, str]:
