@@ -6,6 +6,10 @@ A word is a longest run without the bytes 0x20 and 0x09-0x0D, with A-Z lower-cas
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+from tidemark.llm._shared import text_bytes
 
 SLICE = 1 << 20
 _SEP = np.zeros(256, bool)
@@ -110,12 +114,14 @@ _NO_WORD = np.ones(256, bool)
 _NO_WORD[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
 
 
-def plain_word_hashes(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, row) of the runs of ASCII letters, digits and non-ASCII bytes, A-Z lower-cased; punctuation only separates."""
-    words, row, _, _ = plain_word_spans(data, starts)
-    return words, row
+def plain_word_spans(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Begin and end of the runs of ASCII letters, digits and non-ASCII bytes."""
+    return word_spans(np.where(_NO_WORD[data], np.uint8(0x20), data), starts)
 
 
-def plain_word_spans(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, row, begin, end) of the same words."""
-    return word_hashes(np.where(_NO_WORD[data], np.uint8(0x20), data), starts)
+def plain_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, row) of these words in a string array without nulls, lower-cased letter by letter in any script, so that word k
+    of a row is word k of plain_word_spans."""
+    data, starts = text_bytes(pc.utf8_lower(texts))
+    words, row, _, _ = word_hashes(np.where(_NO_WORD[data], np.uint8(0x20), data), starts)
+    return words, row

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm._shared import ship, text_bytes, text_chunks
-from tidemark.llm._words import plain_word_spans, row_grams
+from tidemark.llm._words import plain_word_spans, plain_words, row_grams
 
 #: Words of a seed; a seed is rare if at most this share of the documents (or MIN_RARE of them) holds it; each item keeps its
 #: rarest KEPT seeds in any case; bytes of items that are sent to the executors at a time.
@@ -71,9 +71,7 @@ class Items:
 def read_items(rows: list[tuple[int, str]], seed: int = SEED) -> Items:
     """Items in order of their ids. Those of fewer words than a seed are never found."""
     rows = sorted(rows)
-    data = [np.frombuffer((t or "").encode(), np.uint8) for _, t in rows]
-    starts = np.concatenate([[0], np.cumsum([len(x) for x in data])]).astype(np.int64)
-    words, row, _, _ = plain_word_spans(np.concatenate(data) if data else np.empty(0, np.uint8), starts)
+    words, row = plain_words(pa.array([t or "" for _, t in rows], pa.string()))
     cut = np.searchsorted(row, np.arange(len(rows) + 1))
     grams, at, first = row_grams(words, row, seed)
     order = np.lexsort((first, grams))
@@ -119,7 +117,7 @@ def _windows(items: Items, row: np.ndarray, begin: np.ndarray, number: np.ndarra
 def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", seed: int = SEED, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(doc_id, item_id, score, words, begin_byte, end_byte): each document and test item of which it holds a copy.
 
-    Words are runs of letters, digits and non-ASCII characters, A-Z lower-cased. Seeds are the items' `seed`-word n-grams
+    Words are runs of ASCII letters, digits and non-ASCII characters, lower-cased. Seeds are the items' `seed`-word n-grams
     that few of all documents hold, and each item's rarest in any case. Around seeds the item is aligned with the text;
     score is the best alignment's share of the item's own, reported from `threshold`; the bytes bound the copy.
 
@@ -148,7 +146,7 @@ def _find(texts: DataFrame, items: Items, threshold: float, seed: int) -> DataFr
     def frequency(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items, total, documents = everything.value, None, 0
         for batch in text_chunks(batches):
-            words, row, _, _ = plain_word_spans(*text_bytes(batch.column(0)))
+            words, row = plain_words(batch.column(0))
             grams, rows, _ = row_grams(words, row, seed)
             at, number = items.find(grams)
             seen = np.unique(rows[at] * max(1, len(items.grams)) + number) % max(1, len(items.grams))
@@ -169,9 +167,8 @@ def _find(texts: DataFrame, items: Items, threshold: float, seed: int) -> DataFr
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = chosen.value
         for batch in text_chunks(batches):
-            words, row, begin, end = plain_word_spans(*text_bytes(batch.column(0)))
+            words, row = plain_words(batch.column(0))
             cut = np.searchsorted(row, np.arange(batch.num_rows + 1))
-            starts = text_bytes(batch.column(0))[1]
             grams, rows, first = row_grams(words, row, seed)
             at, number = items.find(grams)
             ids = batch.column(1).to_pylist()
@@ -185,9 +182,10 @@ def _find(texts: DataFrame, items: Items, threshold: float, seed: int) -> DataFr
                 if score < threshold * MATCH * len(item) or score <= best.get((r, i), (0,))[0]:
                     continue
                 _, since = align(item[::-1], part[:to][::-1])
-                a = base + low + to - since
-                best[r, i] = (score, since, int(begin[a] - starts[r]), int(end[base + low + to - 1] - starts[r]))
-            found = [(ids[r], int(items.ids[i]), s / (MATCH * len(items.words[i])), n, b, e) for (r, i), (s, n, b, e) in sorted(best.items())]
+                best[r, i] = (score, base + low + to - since, base + low + to)
+            data, starts = text_bytes(batch.column(0))
+            begin, end = plain_word_spans(data, starts) if best else (cut, cut)
+            found = [(ids[r], int(items.ids[i]), s / (MATCH * len(items.words[i])), b - a, int(begin[a] - starts[r]), int(end[b - 1] - starts[r])) for (r, i), (s, a, b) in sorted(best.items())]
             kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], kind) for k, kind in enumerate(kinds)], names=[x.split()[0] for x in HITS.split(", ")])
 

@@ -10,16 +10,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm._shared import ship, text_bytes, text_chunks
-from tidemark.llm._words import gram_hashes, mix, plain_word_hashes
+from tidemark.llm._shared import ship, text_chunks
+from tidemark.llm._words import gram_hashes, mix, plain_words
 
 #: log2 of the hashed feature space; bound of the training sample in rows; passes over it.
 BITS, SAMPLE_ROWS, EPOCHS = 18, 16_000, 8
 
 
-def features(data: np.ndarray, starts: np.ndarray, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
+def features(texts: pa.Array, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
     """(feature, row): words, pairs of neighbours, and pairs with one word skipped; a feature may repeat within a row."""
-    words, row = plain_word_hashes(data, starts)
+    words, row = plain_words(texts)
     shift = np.uint64(64 - bits)
     pairs = gram_hashes(words, 2)
     in_pair = row[: len(pairs)] == row[1:] if len(pairs) else np.empty(0, bool)
@@ -82,7 +82,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, sample_rows: int =
 
     def extract(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_chunks(batches):
-            feature, row = features(*text_bytes(batch.column(0)))
+            feature, row = features(batch.column(0))
             keys = np.unique(row << BITS | feature)
             cut = np.searchsorted(keys >> BITS, np.arange(batch.num_rows + 1))
             ids = (keys & ((1 << BITS) - 1)).astype("<u4")
@@ -110,7 +110,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         model = sent.value
         table = (dense or dense.append(model.dense()) or dense)[0]
         for batch in text_chunks(batches, "_text"):
-            feature, row = features(*text_bytes(batch.column(0)), model.bits)
+            feature, row = features(batch.column(0), model.bits)
             hit = table[feature] != 0
             keys = np.unique(row[hit] << model.bits | feature[hit])
             sums = np.bincount(keys >> model.bits, table[keys & ((1 << model.bits) - 1)], batch.num_rows) + model.bias
