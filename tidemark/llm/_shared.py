@@ -109,7 +109,7 @@ def id_crc32_local(ids: Iterable[int | None]) -> np.ndarray:
     return np.array([-1 if i is None else zlib.crc32(str(i).encode()) for i in ids], dtype=np.int64)
 
 
-def text_chunks(batches: Iterable[pa.RecordBatch], column: str = "text", max_bytes: int = 4 << 20) -> Iterable[pa.RecordBatch]:
+def text_chunks(batches: Iterable[pa.RecordBatch], column: str = "text", max_bytes: int = 1 << 20) -> Iterable[pa.RecordBatch]:
     """Zero-copy slices of the batches with about max_bytes of text each (one row at least), nulls as empty texts."""
     for batch in batches:
         if not batch.num_rows:

@@ -14,7 +14,7 @@ from tidemark.llm._shared import ship, text_chunks
 from tidemark.llm._words import gram_hashes, mix, plain_words
 
 #: log2 of the hashed feature space; bound of the training sample in rows; passes over it.
-BITS, SAMPLE_ROWS, EPOCHS = 18, 16_000, 8
+BITS, SAMPLE_ROWS, EPOCHS = 18, 8000, 8
 
 
 def features(texts: pa.Array, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
