@@ -50,6 +50,13 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_components(_table(spark, sf_dir, "documents"))
 
 
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.llm.suffix_dedup import remove_repeats
+
+    cut = remove_repeats(_table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_spectrum_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm import language_id
 
@@ -94,7 +101,7 @@ def op10_bit_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_ftrl_toxicity, op2_sampled_splitters, op3_backoff_automaton, op4_bin_completion, op5_ngram_jaccard_join, op7_spectrum_kernel, op8_vector_approximation, op9_benchmark_leaks, op10_bit_packed_ids)}
+    return {f.__name__: f for f in (op1_ftrl_toxicity, op2_sampled_splitters, op3_backoff_automaton, op4_bin_completion, op5_ngram_jaccard_join, op6_suffix_array_dedup, op7_spectrum_kernel, op8_vector_approximation, op9_benchmark_leaks, op10_bit_packed_ids)}
 
 
 def oracle_sql() -> dict[str, str]:
