@@ -109,14 +109,14 @@ def id_crc32_local(ids: Iterable[int | None]) -> np.ndarray:
     return np.array([-1 if i is None else zlib.crc32(str(i).encode()) for i in ids], dtype=np.int64)
 
 
-def text_chunks(batches: Iterable[pa.RecordBatch], column: str = "text", max_bytes: int = 1 << 20) -> Iterable[pa.RecordBatch]:
-    """Zero-copy slices of the batches with about max_bytes of text each (one row at least), nulls as empty texts."""
+def text_chunks(batches: Iterable[pa.RecordBatch], column: str = "text", max_bytes: int = 1 << 20, fill: bool = True) -> Iterable[pa.RecordBatch]:
+    """Zero-copy slices of the batches with about max_bytes of text each (one row at least); fill: nulls become empty texts."""
     for batch in batches:
         if not batch.num_rows:
             continue
         at = batch.schema.get_field_index(column)
         texts = batch.column(at)
-        if texts.null_count:
+        if fill and texts.null_count:
             texts = texts.fill_null("")
             batch = batch.set_column(at, column, texts)
         wide = pa.types.is_large_string(texts.type)

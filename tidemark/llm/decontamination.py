@@ -125,21 +125,54 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHO
     documents or items match nothing, nor do items of fewer than `seed` words; null ids are passed through. Repeated
     rows: each is reported. Empty tables: empty result. Other columns are left out.
     """
-    spark = docs.sparkSession
-    ship(spark)
+    ship(docs.sparkSession)
     texts = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.col(id_col).cast("long").alias("doc_id"))
+    out = None
+    for items in _item_blocks(benchmark, item_col, item_text_col, seed, block_bytes):
+        chosen = _with_seeds(texts, items, seed)
+
+        def search(batches: Iterable[pa.RecordBatch], chosen=chosen) -> Iterator[pa.RecordBatch]:
+            for batch in text_chunks(batches):
+                ids, hits = batch.column(1).to_pylist(), _leaks(batch.column(0), chosen.value, threshold, seed)
+                found = [(ids[row], *rest) for row, *rest in hits]
+                kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int64(), pa.int64()]
+                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], kind) for k, kind in enumerate(kinds)], names=[x.split()[0] for x in HITS.split(", ")])
+
+        found = texts.mapInArrow(search, HITS)
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", seed: int = SEED, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows of docs, with all their columns, of which find_leaks reports nothing."""
+    ship(docs.sparkSession)
+    texts = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    out = docs
+    for items in _item_blocks(benchmark, item_col, item_text_col, seed, block_bytes):
+        chosen = _with_seeds(texts, items, seed)
+
+        def clean(batches: Iterable[pa.RecordBatch], chosen=chosen) -> Iterator[pa.RecordBatch]:
+            for batch in text_chunks(batches, text_col, fill=False):
+                keep = np.ones(batch.num_rows, bool)
+                keep[[hit[0] for hit in _leaks(batch.column(batch.schema.get_field_index(text_col)).fill_null(""), chosen.value, threshold, seed)]] = False
+                yield batch.filter(pa.array(keep))
+
+        out = out.mapInArrow(clean, docs.schema)
+    return out
+
+
+def _item_blocks(benchmark: DataFrame, item_col: str, item_text_col: str, seed: int, block_bytes: int) -> Iterator[Items]:
+    """The items in blocks of about block_bytes."""
     asked = benchmark.select(F.col(item_col).cast("long").alias("id"), F.coalesce(F.col(item_text_col), F.lit("")).alias("text"))
     size = asked.agg(F.coalesce(F.sum(F.octet_length("text") + 16), F.lit(0))).first()[0]
     blocks = max(1, math.ceil(size / block_bytes))
-    out = None
     for b in range(blocks):
         rows = asked.filter(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == b).collect()
-        found = _find(texts, read_items([(r["id"] if r["id"] is not None else -1, r["text"]) for r in rows], seed), threshold, seed)
-        out = found if out is None else out.unionByName(found)
-    return out
+        yield read_items([(r["id"] if r["id"] is not None else -1, r["text"]) for r in rows], seed)
 
 
-def _find(texts: DataFrame, items: Items, threshold: float, seed: int) -> DataFrame:
+def _with_seeds(texts: DataFrame, items: Items, seed: int):
+    """The items with the seeds that all documents' counts choose, broadcast."""
     spark = texts.sparkSession
     everything = spark.sparkContext.broadcast(items)
 
@@ -162,31 +195,28 @@ def _find(texts: DataFrame, items: Items, threshold: float, seed: int) -> DataFr
     documents = held.pop(-1, 0)
     frequencies = np.zeros(len(items.grams), np.int64)
     frequencies[list(held)] = list(held.values())
-    chosen = spark.sparkContext.broadcast(_seeds(items, frequencies, documents))
-
-    def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items = chosen.value
-        for batch in text_chunks(batches):
-            words, row = plain_words(batch.column(0))
-            cut = np.searchsorted(row, np.arange(batch.num_rows + 1))
-            grams, rows, first = row_grams(words, row, seed)
-            at, number = items.find(grams)
-            ids = batch.column(1).to_pylist()
-            best: dict[tuple[int, int], tuple] = {}
-            for r, i, low, high in _windows(items, rows[at], first[at] - cut[rows[at]], number, np.diff(cut)):
-                item, base = items.words[i], cut[r]
-                part = words[base + low : base + high]
-                if np.isin(item, part).mean() < threshold:
-                    continue  # an alignment can't match more of the item's words than the window holds
-                score, to = align(item, part)
-                if score < threshold * MATCH * len(item) or score <= best.get((r, i), (0,))[0]:
-                    continue
-                _, since = align(item[::-1], part[:to][::-1])
-                best[r, i] = (score, base + low + to - since, base + low + to)
-            data, starts = text_bytes(batch.column(0))
-            begin, end = plain_word_spans(data, starts) if best else (cut, cut)
-            found = [(ids[r], int(items.ids[i]), s / (MATCH * len(items.words[i])), b - a, int(begin[a] - starts[r]), int(end[b - 1] - starts[r])) for (r, i), (s, a, b) in sorted(best.items())]
-            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], kind) for k, kind in enumerate(kinds)], names=[x.split()[0] for x in HITS.split(", ")])
-
-    return texts.mapInArrow(search, HITS)
+    return spark.sparkContext.broadcast(_seeds(items, frequencies, documents))
+
+
+def _leaks(texts: pa.Array, items: Items, threshold: float, seed: int) -> list[tuple]:
+    """(row, item_id, score, words, begin, end) of the best copy of each item in each text."""
+    words, row = plain_words(texts)
+    cut = np.searchsorted(row, np.arange(len(texts) + 1))
+    grams, rows, first = row_grams(words, row, seed)
+    at, number = items.find(grams)
+    best: dict[tuple[int, int], tuple[int, int, int]] = {}
+    for r, i, low, high in _windows(items, rows[at], first[at] - cut[rows[at]], number, np.diff(cut)):
+        item, base = items.words[i], int(cut[r])
+        part = words[base + low : base + high]
+        if np.isin(item, part).mean() < threshold:
+            continue  # an alignment can't match more of the item's words than the window holds
+        score, to = align(item, part)
+        if score < threshold * MATCH * len(item) or score <= best.get((r, i), (0,))[0]:
+            continue
+        _, since = align(item[::-1], part[:to][::-1])
+        best[r, i] = (score, base + low + to - since, base + low + to)
+    if not best:
+        return []
+    data, starts = text_bytes(texts)
+    begin, end = plain_word_spans(data, starts)
+    return [(r, int(items.ids[i]), s / (MATCH * len(items.words[i])), b - a, int(begin[a] - starts[r]), int(end[b - 1] - starts[r])) for (r, i), (s, a, b) in sorted(best.items())]

@@ -167,3 +167,23 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     narrow = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("_text"), F.col(id_col).alias("doc_id"), *[c for c in keep if c != "doc_id"])
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.schema[1:])
     return narrow.mapInArrow(score, f"{schema}, lang_pred string, score double")
+
+
+def keep_identified(docs: DataFrame, model: Model, least_score: float, text_col: str = "text") -> DataFrame:
+    """The rows of docs, with all their columns, whose text is not `und` and has a score of least_score or more."""
+    spark = docs.sparkSession
+    ship(spark)
+    sent = spark.sparkContext.broadcast(model)
+    names = docs.columns
+
+    def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_chunks(batches, text_col):
+            labels, scores = sent.value.predict(batch.column(names.index(text_col)).to_pylist())
+            lettered = [x != UNKNOWN for x in labels] if sent.value.labels else presence_of_letters(batch.column(names.index(text_col)).to_pylist())
+            yield batch.filter(pa.array(np.array(lettered, bool) & (scores >= least_score)))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
+def presence_of_letters(texts: list[str]) -> list[bool]:
+    return [any(map(str.isalpha, t)) for t in texts]
