@@ -4,8 +4,10 @@ Rows of the matrix are the distinct shingle sets (documents with the same set ar
 rare to frequent. Two sets with similarity t or more must share a column among the first n - ceil(t n) + 1 of each, and
 from their first common column on there must be room for the overlap that their sizes require. So only those leading
 entries are multiplied, column by column, in blocks; pairs that the bounds leave get their overlap counted in full. Links are
-found in two rounds: first each column's members against its smallest one; then, where a column still joins different
-components, all its pairs across components. Pairs inside a component never need to be formed, nor pairs of copies.
+found in rounds: first each column's members against one of them, a smallest and then others, as long as the column joins
+different components; at last, where one still does, all its pairs across components, less those whose sketches (parities
+of hashed shingles) differ in more places than a link's sets may. Pairs inside a component never need to be formed, nor
+pairs of copies.
 """
 
 from __future__ import annotations
@@ -23,10 +25,10 @@ from tidemark.llm._shared import drop_written, written
 from tidemark.llm._words import mix, row_grams
 
 WIDTH, NUMERATOR, DENOMINATOR = 5, 80, 100
-#: Members of a column that one block holds.
-BLOCK = 2048
+#: Members of a column that one block holds; rounds in which a column's members meet one of them; bits of a sketch.
+BLOCK, ROUNDS, SKETCH = 2048, 3, 1024
 SETS = "chunk long, local int, row_id long, doc_id long, n long, s1 long, s2 long"
-MATRIX = "node long, n long, token long, pos int, tokens array<long>"
+MATRIX = "node long, n long, token long, pos int, tokens array<long>, sketch binary"
 _NULL_ID = -(1 << 63)
 
 
@@ -51,6 +53,15 @@ def _signatures(grams: np.ndarray, cut: np.ndarray) -> tuple[np.ndarray, np.ndar
         return (sums[cut[1:]] - sums[cut[:-1]]).view(np.int64), (others[cut[1:]] - others[cut[:-1]]).view(np.int64)
 
 
+def _sketches(grams: np.ndarray, row: np.ndarray, nodes: np.ndarray) -> list[bytes]:
+    """For each of the rows `nodes`, whether an odd number of its shingles falls on each of SKETCH places."""
+    out = []
+    place = (mix(grams ^ np.uint64(0x3C6EF372FE94F82B)) & np.uint64(SKETCH - 1)).astype(np.int64)
+    for a, b in zip(np.searchsorted(row, nodes), np.searchsorted(row, nodes, "right"), strict=True):
+        out.append(np.packbits((np.bincount(place[a:b], minlength=SKETCH) & 1).astype(np.uint8)).tobytes())
+    return out
+
+
 def _linked(overlap: Column, n: Column, other: Column, t: tuple[int, int]) -> Column:
     return overlap * t[1] >= (n + other - overlap) * t[0]
 
@@ -116,7 +127,7 @@ def _matrix(chunks: DataFrame, classes: DataFrame, width: int, t: tuple[int, int
     totals = exchange(each_chunk(chunks, ask, REQUEST))
 
     def lead(left: pa.Table, right: pa.Table) -> pa.Table:
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64())]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.binary()]
         names = [x.split()[0] for x in MATRIX.split(", ")]
         if not left.num_rows:
             return pa.table([pa.array([], k) for k in kinds], names=names)
@@ -144,9 +155,9 @@ def _matrix(chunks: DataFrame, classes: DataFrame, width: int, t: tuple[int, int
         ends = np.searchsorted(row[shared], np.concatenate([nodes, [len(size)]]))
         lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(grams[shared].view(np.int64)))
         entries = [chunk.first + row[at], size[row[at]], grams[at].view(np.int64), pos[at].astype(np.int32)]
-        a = pa.table([*[pa.array(x, k) for x, k in zip(entries, kinds, strict=False)], pa.nulls(len(at), kinds[4])], names=names)
+        a = pa.table([*[pa.array(x, k) for x, k in zip(entries, kinds, strict=False)], pa.nulls(len(at), kinds[4]), pa.nulls(len(at), kinds[5])], names=names)
         n = len(nodes)
-        b = pa.table([pa.array(chunk.first + nodes, kinds[0]), pa.array(size[nodes], kinds[1]), pa.nulls(n, kinds[2]), pa.nulls(n, kinds[3]), lists], names=names)
+        b = pa.table([pa.array(chunk.first + nodes, kinds[0]), pa.array(size[nodes], kinds[1]), pa.nulls(n, kinds[2]), pa.nulls(n, kinds[3]), lists, pa.array(_sketches(grams, row, nodes), kinds[5])], names=names)
         return pa.concat_tables([a, b])
 
     beside = totals.select("chunk", "kind", "bucket", "totals", F.lit(None).cast("int").alias("local")).unionByName(classes.select("chunk", F.lit(None).cast("int").alias("kind"), F.lit(None).cast("int").alias("bucket"), F.lit(None).cast("binary").alias("totals"), "local"))
@@ -167,19 +178,29 @@ def _roots(matrix: DataFrame, t: tuple[int, int]) -> DataFrame:
     """(node, root) of every linked node."""
     entries = matrix.filter("token is not null").select("node", "n", "token", "pos")
     sets = matrix.filter("token is null").select("node", "n", "tokens")
-    columns = entries.groupBy("token").agg(F.count(F.lit(1)).alias("members"), F.min(F.struct("n", "node", "pos")).alias("least")).filter("members > 1")
-    stars = entries.join(columns, "token").filter((F.col("node") != F.col("least.node")) & _room(F.col("n"), F.col("pos"), F.col("least.n"), F.col("least.pos"), t))
-    first = written(_verified(stars.select(F.col("node").alias("u"), F.col("least.node").alias("v")).distinct(), sets, t), "first-links")
-    roots = components(first)
+    roots: DataFrame | None = None
+    for turn in range(ROUNDS):
+        if roots is None:
+            settled, differ = entries.withColumn("root", F.col("node")), F.count(F.lit(1)) > 1
+        else:
+            settled, differ = entries.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), F.min("root") < F.max("root")
+        first = F.col("n") if turn == 0 else F.xxhash64(F.lit(turn), "node")
+        hubs = settled.groupBy("token").agg(F.min(F.struct(first.alias("first"), "node", "n", "pos", "root")).alias("hub"), differ.alias("open")).filter("open").select("token", "hub")
+        stars = settled.join(hubs, "token").filter((F.col("root") != F.col("hub.root")) & _room(F.col("n"), F.col("pos"), F.col("hub.n"), F.col("hub.pos"), t))
+        pairs = stars.select(F.greatest("node", "hub.node").alias("u"), F.least("node", "hub.node").alias("v")).distinct()
+        links = written(_verified(pairs, sets, t), "star-links")
+        if roots is None or not links.isEmpty():
+            roots = components(links if roots is None else roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(links))
     settled = written(entries.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "entries")
     mixed = settled.groupBy("token").agg(F.count(F.lit(1)).alias("members"), F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1")
     mixed = mixed.select("token", F.ceil(F.col("members") / F.lit(BLOCK)).cast("int").alias("blocks"))
-    tiles = settled.join(mixed, "token").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    tiles = tiles.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "n", "pos", "root")
+    tiles = settled.join(mixed, "token").join(matrix.filter("token is null").select("node", "sketch"), "node")
+    tiles = tiles.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    tiles = tiles.select("token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "n", "pos", "root", "sketch")
     pairs = tiles.groupBy("token", "i", "j").applyInArrow(_tile(t), "u long, v long").distinct()
-    second = written(_verified(pairs, sets, t), "second-links")
-    if not second.isEmpty():
-        roots = components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(second))
+    last = written(_verified(pairs, sets, t), "last-links")
+    if not last.isEmpty():
+        roots = components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(last))
     drop_written(settled)
     return roots
 
@@ -189,6 +210,7 @@ def _tile(t: tuple[int, int]):
 
     def pairs(table: pa.Table) -> pa.Table:
         node, n, pos, root, block, i, j = (table.column(c).to_numpy() for c in ("node", "n", "pos", "root", "block", "i", "j"))
+        sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint64).reshape(len(node), -1)
         left, right = np.flatnonzero(block == i[0]), np.flatnonzero(block == j[0])
         out = []
         step = max(1, (1 << 20) // max(1, len(right)))
@@ -197,7 +219,10 @@ def _tile(t: tuple[int, int]):
             small, large = np.minimum(n[a], n[b]), np.maximum(n[a], n[b])
             fits = (root[a] != root[b]) & (small * t[1] >= large * t[0]) & (np.minimum(n[a] - pos[a], n[b] - pos[b]) * (t[0] + t[1]) >= (small + large) * t[0])
             x, y = np.nonzero(fits)
-            u, v = node[a[x, 0]], node[right[y]]
+            x, y = a[x, 0], right[y]
+            apart = np.concatenate([np.bitwise_count(sketch[x[k : k + 65536]] ^ sketch[y[k : k + 65536]]).sum(1, dtype=np.int64) for k in range(0, len(x), 65536)] or [np.empty(0, np.int64)])
+            near = apart * (t[0] + t[1]) <= (n[x] + n[y]) * (t[1] - t[0])
+            u, v = node[x[near]], node[y[near]]
             out.append(np.stack([np.maximum(u, v), np.minimum(u, v)], 1))
         found = np.unique(np.concatenate(out), axis=0) if out else np.empty((0, 2), np.int64)
         return pa.table([pa.array(found[:, 0], pa.int64()), pa.array(found[:, 1], pa.int64())], names=["u", "v"])
