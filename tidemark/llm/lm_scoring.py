@@ -112,15 +112,15 @@ def score_texts(docs: DataFrame, learn: Column, order: int = ORDER, kappa: float
         count = answers(right, 1, len(grams.keys[0])).astype(np.float64)
         p = (count[grams.at[0]] + 1.0) / (n_train + n_words + 1.0)
         base, known = np.log10(p), count[grams.at[0]] > 0
-        log = base
+        log, first = base, grams.ends - grams.sizes
         for n in range(2, order + 1):
             seen = answers(right, n, len(grams.keys[n - 1])).astype(np.float64)[grams.at[n - 1]]
             context = grams.previous(n - 1, learned, answers(right, n - 1, len(grams.keys[n - 2])).astype(np.float64))
             arc = seen > 0
             failure = np.log10(kappa / (context + kappa))
             p_arc = (seen + kappa * 10.0**log) / (context + kappa)
-            log = np.where(arc, np.log10(np.where(arc, p_arc, 1.0)), failure + log)
-        first = grams.ends - grams.sizes
+            whole = np.arange(len(log)) - first[grams.row] >= n - 2  # before that, the text's begin is nearer
+            log = np.where(whole, np.where(arc, np.log10(np.where(arc, p_arc, 1.0)), failure + log), log)
         add = lambda x: np.add.reduceat(x, first) if len(first) else np.empty(0)
         ids = pa.array(chunk.doc_ids, pa.int64(), mask=chunk.doc_ids == null_id)
         return pa.table(
