@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote
 
 import zstandard
@@ -31,7 +32,8 @@ def stage(lines: DataFrame, uri: str, compression: str = "gzip") -> Storage:
     raw = f"_raw/{compression}"
     # Spark reads zstd text but doesn't write it everywhere, so such files are compressed here, one by one.
     lines.select("value", "dir", "file").repartition("dir", "file").write.partitionBy("dir", "file").option("compression", "gzip" if compression == "gzip" else "none").text(target.uri(raw))
-    for path, _ in target.list(raw):
+
+    def move(path: str) -> None:
         found = re.search(r"dir=([^/]*)/file=([^/]*)/part-", path)
         if found and not path.endswith(".crc"):
             folder, name = (unquote(x) for x in found.groups())
@@ -41,6 +43,9 @@ def stage(lines: DataFrame, uri: str, compression: str = "gzip") -> Storage:
                 target.write(final, zstandard.ZstdCompressor().compress(target.read(path)))
             else:
                 target.rename(path, final)
+
+    with ThreadPoolExecutor(16) as pool:
+        list(pool.map(move, [p for p, _ in target.list(raw)]))
     target.delete(raw)
     return target
 

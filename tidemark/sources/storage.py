@@ -102,6 +102,12 @@ class Storage:
             out.append((self.relative(status.getPath().toString()), status.getLen()))
         return out
 
+    def names(self, folder: str) -> list[str]:
+        """Names in a folder, whatever comes and goes there meanwhile."""
+        if not self.exists(folder):
+            return []
+        return [status.getPath().getName() for status in self.fs.listStatus(self._at(folder))]
+
     def relative(self, uri: str) -> str:
         """A listed URI's path below the base."""
         plain = re.sub(r"^file:/+", "/", uri)
@@ -161,7 +167,7 @@ class Storage:
 
     def manifest(self, suffixes: tuple[str, ...] = (), prefixes: list[str] | None = None) -> DataFrame:
         """(path, partition, filename, size) of the files, listed by Spark's own distributed listing; names that begin with
-        _ or . are left out, as are folders of such names. Prefixes that don't exist are skipped; None lists all."""
+        _ or . are left out, as are folders of such names and files without a byte. Prefixes that don't exist are skipped; None lists all."""
         wanted = [""] if not prefixes else sorted(set(prefixes))
         there = [self.uri(p) for p in wanted if self.exists(p)]
         schema = "path string, partition string, filename string, size long"
