@@ -77,7 +77,7 @@ def write_files(records: DataFrame, table: Storage, partition_columns: tuple[str
 
 def publish(table: Storage, staging: str, partition_columns: tuple[str, ...] = ()) -> list[FinishedFile]:
     """Moves a staging folder's Parquet files to their final names."""
-    found = [(p, size) for p, size in table.list(staging) if p.endswith(".parquet")]
+    found = [(p, size) for p, size in table.data_files(staging) if p.endswith(".parquet")]
     spark = table.spark
     counts = file_stats(table, [p for p, _ in found]) if found else {}
     out: list[FinishedFile] = []

@@ -165,7 +165,11 @@ class Storage:
     def delete(self, path: str = "") -> bool:
         return self.fs.delete(self._at(path), True)
 
-    def manifest(self, suffixes: tuple[str, ...] = (), prefixes: list[str] | None = None) -> DataFrame:
+    def data_files(self, folder: str) -> list[tuple[str, int]]:
+        """(path, size) of the files below a folder that may be hidden itself, by Spark's listing: one call, however many."""
+        return sorted((r["path"], r["size"]) for r in self.manifest((), [folder], hidden=True).collect())
+
+    def manifest(self, suffixes: tuple[str, ...] = (), prefixes: list[str] | None = None, hidden: bool = False) -> DataFrame:
         """(path, partition, filename, size) of the files, listed by Spark's own distributed listing; names that begin with
         _ or . are left out, as are folders of such names and files without a byte. Prefixes that don't exist are skipped; None lists all."""
         wanted = [""] if not prefixes else sorted(set(prefixes))
@@ -180,7 +184,8 @@ class Storage:
         plain = F.regexp_replace("path", r"^file:/+", "/")
         path = F.substring(plain, len(base) + 2, 1 << 20)
         listed = reader.load(there).select(path.alias("path"), F.col("length").alias("size")).distinct()
-        listed = listed.filter(~F.col("path").rlike(r"(^|/)[_.]"))
+        if not hidden:
+            listed = listed.filter(~F.col("path").rlike(r"(^|/)[_.]"))
         return listed.select("path", dirname("path").alias("partition"), F.substring_index("path", "/", -1).alias("filename"), "size")
 
 
