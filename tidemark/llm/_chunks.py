@@ -17,10 +17,10 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm._shared import ship, text_bytes, text_chunks, written
+from tidemark.llm._shared import give_back, ship, text_bytes, text_chunks, written
 from tidemark.llm._words import word_hashes
 
-CHUNK_BYTES, BUCKET_TOKENS = 12 << 20, 1 << 20
+CHUNK_BYTES, BUCKET_TOKENS = 5 << 20, 1 << 20
 CHUNK = "chunk long, first long, n_docs int, n_tokens long, doc_ids binary, marks binary, sizes binary, vocab binary, stream binary"
 REQUEST = "kind int, bucket int, chunk long, width int, keys binary, counts binary"
 RESPONSE = "kind int, bucket int, chunk long, totals binary, total long, distinct long"
@@ -70,6 +70,7 @@ def build_chunks(docs: DataFrame, mark: Column | None = None, id_col: str = "doc
                 yield row()
                 first += sum(len(h[0]) for h in held)
                 held, size, count = [], 0, count + 1
+                give_back()
         if held:
             yield row()
 
@@ -180,5 +181,6 @@ def each_chunk(chunks: DataFrame, work: Callable[[Chunk], Iterable[pa.RecordBatc
         for batch in batches:
             for k in range(batch.num_rows):
                 yield from work(Chunk(batch.slice(k, 1).to_pylist()[0]))
+                give_back()
 
     return chunks.mapInArrow(run, schema)

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import ctypes
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -48,6 +50,12 @@ def scratch(spark: SparkSession, name: str) -> str:
     return uri
 
 
+def _bytes(text: str | None) -> int | None:
+    """A size such as 64MB or 67108864b."""
+    found = re.fullmatch(r"(\d+)([kmg]?)b?", (text or "").strip().lower())
+    return int(found[1]) << {"": 0, "k": 10, "m": 20, "g": 30}[found[2]] if found else None
+
+
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -82,8 +90,23 @@ def drop_written(*tables: DataFrame) -> None:
                 _delete(table.sparkSession, folder)
 
 
+def give_back() -> None:
+    """Returns freed memory to the system: Python workers live on between tasks and would keep their largest task's."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+#: Bytes of an Arrow batch, for sessions that leave it at Spark's default.
+ARROW_BYTES, ARROW_CONF, ARROW_DEFAULT = 8 << 20, "spark.sql.execution.arrow.maxBytesPerBatch", 64 << 20
+
+
 def ship(spark: SparkSession) -> None:
-    """Sends this package to the executors, once for each Spark application, so that workers can import it."""
+    """Sends this package to the executors, once for each Spark application, so that workers can import it; and makes
+    the session's Arrow batches small, which texts of any length need, unless it has a size of its own."""
+    with contextlib.suppress(Exception):  # a Spark without this setting
+        if _bytes(spark.conf.get(ARROW_CONF)) == ARROW_DEFAULT:
+            spark.conf.set(ARROW_CONF, str(ARROW_BYTES))
     context = spark.sparkContext
     if getattr(context, "_tidemark_shipped", False):
         return
