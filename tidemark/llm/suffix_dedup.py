@@ -20,13 +20,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm._chunks import REQUEST, _unzip, _zip, answers, exchange, requests_of, written_big
-from tidemark.llm._shared import drop_written, ship, text_bytes, text_chunks, written
+from tidemark.llm._shared import drop_written, give_back, ship, text_bytes, text_chunks, written
 from tidemark.llm._suffix_array import repeats
 from tidemark.llm._words import _P, _P_INVERSE, _VALUE, _power, mix
 
 LENGTH, CORE = 100, 80
 #: Bytes of a chunk, bytes hashed at a time, contexts of one core that a bucket takes, symbols of one suffix array.
-CHUNK_BYTES, SLICE, HOT, BLOCK = 12 << 20, 1 << 20, 20_000, 400_000
+CHUNK_BYTES, SLICE, HOT, BLOCK = 5 << 20, 1 << 20, 4000, 400_000
 CHUNK = "chunk long, n_docs int, n_bytes long, doc_ids binary, sizes binary, data binary"
 ENTRY = "bucket int, chunk long, n int, cores binary, contexts binary, docs binary"
 FLAGS = "chunk long, bucket int, flags binary"
@@ -34,6 +34,7 @@ RECORD = "kind int, chunk long, key long, doc_id long, local int, start long, le
 SPANS = "chunk long, locals binary, begins binary, ends binary"
 KEPT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
 _NULL_ID = -(1 << 63)
+_AGAIN = np.uint64(0x9FB21C651E98DF25)
 
 
 class Bytes:
@@ -65,6 +66,7 @@ def byte_chunks(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
             if size >= chunk_bytes:
                 yield row()
                 held, size, count = [], 0, count + 1
+                give_back()
         if held:
             yield row()
 
@@ -103,7 +105,8 @@ def runs(data: np.ndarray, starts: np.ndarray, length: int, core: int) -> tuple[
             end = change[np.searchsorted(change, begin)]
             p = place[begin]
             context = mix((sums[end + length] - sums[begin]) * back[begin] + mix((p - begin).astype(np.uint64) << np.uint64(32) | (end - begin).astype(np.uint64)))
-        out.append((row[begin], at + begin, at + end, at + p, hashes[p], context))
+        # A core's hash is the least of many, so it is mixed anew before its first bits choose a bucket.
+        out.append((row[begin], at + begin, at + end, at + p, mix(hashes[p] ^ _AGAIN), context))
     if not out:
         return (*(np.empty(0, np.int64) for _ in range(4)), np.empty(0, np.uint64), np.empty(0, np.uint64))
     return tuple(np.concatenate([o[k] for o in out]) for k in range(6))
@@ -234,6 +237,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, core: int = CORE, hot:
                 chunk = Bytes(batch.slice(k, 1).to_pylist()[0])
                 cores = _Candidates(chunk, None, length, core)
                 yield from requests_of(1, chunk.id, cores.keys, cores.counts, bits, 6)
+                give_back()
 
     totals = exchange(chunks.mapInArrow(ask, REQUEST)).select("kind", "bucket", "chunk", "totals")
 
