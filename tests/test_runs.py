@@ -193,3 +193,14 @@ def test_stop_is_seen_between_steps():
     stop = Stop()
     threading.Timer(0.05, stop.set).start()
     assert poll(lambda: 1, 10, 0, stop) == 1 and stop.told
+
+
+def test_files_roll_by_size(spark, tmp_path):
+    for k in range(3):
+        put(tmp_path, f"{k}.ndjson.gz", *(f'{{"id": {i}}}' for i in range(k * 1000, k * 1000 + 1000)))
+    source = cf.SourceConfig(f"{tmp_path}/raw", checkpoint=cf.CheckpointConfig(interval_files=1))
+    pipeline = cf.PipelineConfig({"s": source}, cf.SinkConfig(f"{tmp_path}/t"), cf.SchemaConfig(fields=[cf.FieldConfig("id", "int64")]))
+    ingester = Ingester(spark, "x", pipeline)
+    ingester.policy = type(ingester.policy)(max_bytes=2000)
+    files = ingester.step()
+    assert sum(f.records for f in files) == 3000 and len(files) > 3  # the first file's size tells where later ones roll

@@ -11,15 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.partitions import date_prefixes
+from tidemark.functions.partitions import date_prefixes, path_values
 from tidemark.operators import evolution
 from tidemark.operators.dlq import by_stage
-from tidemark.operators.sink import write_files
+from tidemark.operators.sink import CODECS, write_files
+from tidemark.operators.sink import file_stats as footer_rows
 from tidemark.operators.txlog import FinishedFile, Table
 from tidemark.operators.watermark import CheckpointStore, Watermark, advanced, contiguous
 from tidemark.plans.config import ErrorHandling, FieldConfig, PartitionBy, PartitionFilter, PipelineConfig, SchemaConfig, SinkConfig, SourceConfig, TableConfig
 from tidemark.plans.staging import event_lines, fresh, iso, json_line, stage
-from tidemark.sources import discovery
+from tidemark.sources import discovery, inference
 from tidemark.sources.ndjson import SOURCE_FILE
 from tidemark.sources.storage import Storage
 from tidemark.streaming.commit import Committer
@@ -406,3 +407,115 @@ def committed_week(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = _ingest(spark, _config(source.uri(), fresh(spark, "table"), EVENT_FIELDS)).read()
     week = table.filter((F.col("date") >= "2024-01-08") & (F.col("date") < "2024-01-15"))
     return week.groupBy("date", "event_type").agg(F.count(F.lit(1)).alias("events"), F.sum("user_id").alias("total"))
+
+
+PATHS_SQL = f"SELECT DISTINCT 'date=' || {DAY_SQL} || '/' || {FILE_SQL} || '.ndjson.gz' AS path FROM events"
+
+
+@_query(f"{PATHS_SQL} ORDER BY path LIMIT 7")
+def list_with_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    source = _staged(spark, sf_dir, file=F.expr(FILE))
+    return spark.createDataFrame([(p,) for p in discovery.first_files(source, 7)], "path string")
+
+
+@_query(f"SELECT DISTINCT 'date=' || {DAY_SQL} AS partition FROM events")
+def partition_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return discovery.partitions(discovery.list_ndjson(_staged(spark, sf_dir, file=F.expr(FILE))))
+
+
+@_query(f"SELECT path FROM ({PATHS_SQL}) WHERE path LIKE 'date=2024-01-1%' OR path LIKE 'date=2024-01-03%'")
+def processed_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of all processed paths, those that an active prefix still covers."""
+    done = discovery.list_ndjson(_staged(spark, sf_dir, file=F.expr(FILE))).select("path")
+    return discovery.compact(done, ["date=2024-01-1", "date=2024-01-03"])[0]
+
+
+@_query(f"SELECT {DAY_SQL} AS date, count(*) AS records FROM events WHERE day(ts) > 15 GROUP BY 1")
+def uncommitted_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of the table's folder that no commit names, with the rows that their footers give."""
+    source = _staged(spark, sf_dir)
+    config = _config(source.uri(), fresh(spark, "table"), EVENT_FIELDS)
+    ingester, table = Ingester(spark, "events", config), Table(spark, config.sink.table_uri)
+    files = ingester.step()
+    table.create(ingester.resolve_schema(), ("date",))
+    table.commit([f for f in files if f.partition_values["date"] <= "2024-01-15"])
+    left = [r["path"] for r in discovery.uncommitted(table.storage, table.committed_paths()).collect()]
+    rows = [(path_values(p)["date"], n) for p, n in footer_rows(table.storage, left).items()]
+    return spark.createDataFrame(rows, "date string, records long").groupBy("date").agg(F.sum("records").alias("records"))
+
+
+@_query("SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag FROM lineitem")
+def sink_codecs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table whose files are in five codecs."""
+    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag")
+    table = Table(spark, fresh(spark, "table"))
+    for k, codec in enumerate(CODECS):
+        files = write_files(items.filter(F.col("l_orderkey") % len(CODECS) == k).withColumn(SOURCE_FILE, F.lit("")), table.storage, compression=codec)
+        table.create(items.schema)
+        table.commit(files)
+    return table.read()
+
+
+def _daily(spark: SparkSession, sf_dir: str) -> Table:
+    """One commit for each seventh of the events, a log checkpoint after every third."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "event_type")
+    table = Table(spark, fresh(spark, "table"), checkpoint_every=3)
+    table.create(events.schema)
+    for k in range(7):
+        table.commit(write_files(events.filter(F.col("event_id") % 7 == k).withColumn(SOURCE_FILE, F.lit("")), table.storage), "daily", k, {"watermark": str(k)})
+    return table
+
+
+@_query("SELECT event_id, event_type FROM events")
+def log_checkpoint_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A reader that starts from the log's checkpoint."""
+    return Table(spark, _daily(spark, sf_dir).storage.uri()).read()
+
+
+@_query("SELECT event_id, event_type FROM events WHERE event_id % 7 < 4")
+def snapshot_at_version(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _daily(spark, sf_dir).read(4)
+
+
+@_query("SELECT CAST(6 AS BIGINT) AS version, '6' AS watermark, CAST(count(*) AS BIGINT) AS records FROM events")
+def recovered_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a new process learns from the log about its last transaction."""
+    table = Table(spark, _daily(spark, sf_dir).storage.uri())
+    state, (_, watermark, _) = table.snapshot(), table.recover("daily")
+    return spark.createDataFrame([(state.transactions["daily"], watermark, sum(f["numRecords"] for f in state.files.values()))], "version long, watermark string, records long")
+
+
+@_query("SELECT * FROM (VALUES ('items[].count', 'integer, string'), ('tag', 'array, object'), ('nested.value', 'boolean, integer')) AS t(path, kinds)")
+def conflict_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = ['{"items": [{"count": 1}, {"count": "x"}], "tag": [1], "nested": {"value": 1, "ok": 1}}', '{"tag": {"a": 1}, "nested": {"value": true}}']
+    _, found = inference.infer_lines(lines, coerce_conflicts=True)
+    return spark.createDataFrame([(c.path, c.reason) for c in found], "path string, kinds string")
+
+
+@_query("SELECT event_id, user_id AS who, CASE WHEN event_id % 3 = 0 THEN NULL ELSE value END AS amount, event_type AS first_tag, CAST(CASE WHEN event_id % 2 = 0 THEN 2 ELSE 1 END AS INTEGER) AS tags FROM events")
+def nested_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Objects and arrays, with absent and null members, under an inferred schema."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    tags = F.when(F.col("event_id") % 2 == 0, F.array("event_type", F.lit("even"))).otherwise(F.array("event_type"))
+    line = json_line(F.col("event_id"), F.struct(F.col("user_id").alias("who"), F.when(F.col("event_id") % 3 != 0, F.col("value")).alias("amount")).alias("o"), tags.alias("tags"))
+    source = stage(events.select(line.alias("value"), F.date_format("ts", "'date='yyyy-MM-dd").alias("dir"), F.lit("all").alias("file")), fresh(spark, "source"))
+    read = _ingest(spark, _config(source.uri(), fresh(spark, "table"), None)).read()
+    return read.select("event_id", F.col("o.who").alias("who"), F.col("o.amount").alias("amount"), F.col("tags")[0].alias("first_tag"), F.size("tags").alias("tags"))
+
+
+@_query("SELECT event_id, ts, value FROM events")
+def nanosecond_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parquet files with nanosecond timestamps, committed and read in microseconds."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "value").toArrow()
+    nanos = rows.set_column(1, "ts", rows.column("ts").cast(pa.timestamp("ns")).cast(pa.timestamp("ns", "UTC")))
+    table = Table(spark, fresh(spark, "table"))
+    sink = pa.BufferOutputStream()
+    pq.write_table(nanos, sink)
+    table.storage.write("given.parquet", sink.getvalue().to_pybytes())
+    Committer(spark, "nanos", TableConfig(table.storage.uri())).step()
+    micros = F.unix_micros("ts")
+    exact = "timestamp_ntz'1970-01-01 00:00:00' + make_dt_interval(int(m div 86400000000), 0, 0, cast(m % 86400000000 as decimal(18, 6)) / 1000000)"
+    return table.read().withColumn("m", micros).select("event_id", F.expr(exact).alias("ts"), "value")

@@ -7,12 +7,14 @@ import time
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.functions.partitions import path_values
-from tidemark.operators.sink import file_stats
+from tidemark.operators.sink import file_stats, write_files
 from tidemark.operators.txlog import FinishedFile, Table
 from tidemark.plans.config import TableConfig
-from tidemark.sources import discovery
+from tidemark.sources import discovery, nanos
+from tidemark.sources.ndjson import SOURCE_FILE
 from tidemark.streaming.metrics import Metrics
 
 log = logging.getLogger(__name__)
@@ -26,6 +28,7 @@ class Committer:
         self.metrics = metrics or Metrics()
         self.table = Table(spark, config.table_uri, config.delta_checkpoint_interval, config.storage_options)
         self.app_id = f"committer-{name}"
+        self.nanoseconds: list[str] = []
         info, self.watermark, _ = self.table.recover(self.app_id) if self.table.snapshot().version >= 0 else (None, None, False)
         self.batch = info["batch"] + 1 if info and "batch" in info else 0
 
@@ -43,6 +46,9 @@ class Committer:
             schema = self.spark.read.parquet(self.table.storage.uri(path)).schema
             return FinishedFile(path, size, file_stats(self.table.storage, [path])[path], path_values(path), schema)
         except Exception as error:  # noqa: BLE001
+            if nanos.refused(error):
+                self.nanoseconds.append(path)
+                return None
             log.warning("%s is left out: %s", path, str(error).splitlines()[0])
             self.metrics.add("files_failed", stage="read", target=self.name)
             return None
@@ -53,6 +59,10 @@ class Committer:
         began = time.monotonic()
         with ThreadPoolExecutor(8) as pool:
             files = [f for f in pool.map(self._inspect, self.candidates()) if f is not None]
+        for path in self.nanoseconds:
+            columns = tuple(path_values(path))
+            files += nanos.rewrite(self.table.storage, path, lambda rows, p=path, c=columns: write_files(rows.withColumn(SOURCE_FILE, F.lit(p)), self.table.storage, c))
+        self.nanoseconds = []
         self.metrics.set("pending_files", len(files), target=self.name)
         if not files:
             return 0

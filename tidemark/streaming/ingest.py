@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.dlq import DeadLetters
-from tidemark.operators.sink import write_files
+from tidemark.operators.sink import RollingPolicy, write_files
 from tidemark.operators.txlog import FinishedFile, Table
 from tidemark.operators.watermark import CheckpointStore, Watermark
 from tidemark.plans.config import PipelineConfig, SourceConfig
@@ -55,6 +55,9 @@ class Ingester:
             if s.config.use_watermark:
                 s.watermark = self.checkpoints.load(name, s.name).watermark
         self.schema: T.StructType | None = None
+        #: Bytes and rows so far: their ratio makes a size into a number of rows, which Spark's writer rolls by.
+        self.written = (0, 0)
+        self.policy = RollingPolicy(config.sink.file_size_mb << 20)
 
     def resolve_schema(self) -> T.StructType | None:
         """The declared schema, or the one inferred from the first source that has a file; None as long as none has."""
@@ -110,7 +113,7 @@ class Ingester:
             sink = self.config.sink
             columns = sink.partition_by.columns if sink.partition_by else ()
             try:
-                finished = write_files(seen.drop(CORRUPT), self.table, columns, sink.compression, sink.row_group_size_bytes, files=len(uris))
+                finished = write_files(seen.drop(CORRUPT), self.table, columns, sink.compression, sink.row_group_size_bytes, self.policy.rows_per_file(*self.written), len(uris))
             except Exception:  # a file that can't be decompressed ends the job
                 if inflate:
                     raise
@@ -125,6 +128,7 @@ class Ingester:
                 self.metrics.add("files_processed", len(uris), status="success", target=self.name)
                 self.metrics.add("parquet_files_written", len(finished), target=self.name)
                 self.metrics.add("bytes_written", sum(f.size for f in finished), target=self.name)
+                self.written = (self.written[0] + sum(f.size for f in finished), self.written[1] + sum(f.records for f in finished))
                 break
             for f in finished:
                 self.table.delete(f.path)
