@@ -8,6 +8,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -16,7 +17,7 @@ from tests.llm.helpers import corpus, edited, frame, prose, rows, words
 from tidemark.llm import jaccard_join, lm_scoring, packing, sharding, suffix_dedup, token_output, topk_search
 from tidemark.llm._shared import id_crc32
 from tidemark.llm._suffix_array import suffix_array
-from tidemark.llm._tokens import Encoder, default_tokenizer_path, read_tokenizer, segments
+from tidemark.llm._tokens import Encoder, default_tokenizer_path, read_tokenizer
 
 
 def with_odd_rows(data):
@@ -341,16 +342,16 @@ def test_token_files_round_trip(spark):
 def test_cached_encoding_is_the_librarys(monkeypatch):
     from tidemark.llm import _tokens
 
-    monkeypatch.setattr(_tokens, "CACHED", 500)
-    monkeypatch.setattr(_tokens, "SEGMENT", 2000)
+    monkeypatch.setattr(_tokens, "WORDS", 500)
+    monkeypatch.setattr(_tokens, "SLICE", 2000)
     encoder = Encoder(read_tokenizer(default_tokenizer_path()))
     rng = random.Random(5)
     alphabet = "aB'. ,\n\t éÉ́Ñß1９Σς<|endoftext|>\xa0　İIſ漢KÅ"
     texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 60))) for _ in range(3000)]
     texts += [prose(rng, 5000), "y" * 5000, "don't, I'M. 's", "A<|startoftext|>.", "", "a" * 70 + ". " + "B" * 90 + ","]
-    for text, ids in zip(texts, encoder.encode(texts), strict=True):
+    for text, ids in zip(texts, encoder.encode(pa.array(texts)), strict=True):
         assert ids.tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids, text[:100]
-    assert " ".join(segments("aa bb\ncc " * 50, 40)).replace("\n", " ") == ("aa bb cc " * 50)
+    assert [x.tolist() for x in encoder.encode(pa.array([], pa.string()))] == []
 
 
 def test_kept_digest():

@@ -1,7 +1,8 @@
-"""Token ids of whole texts by a public tokenizer file, with a bounded cache of space-delimited pieces.
+"""Token ids of whole texts by a public tokenizer file, with a bounded table of words.
 
-The tokenizer's normaliser and splitter treat the pieces between spaces or line feeds independently, so encoding each
-distinct piece once and joining the ids gives the library's own result for the whole text (tests hold it to that).
+The tokenizer's normaliser and splitter treat what stands between spaces or line feeds independently, cut a last full stop
+or comma from a letter or digit, and lower-case. So texts are cut there, each distinct word is encoded once by the
+library, and texts are put together from the words' ids; tests hold the result to the library's own for the whole text.
 """
 
 from __future__ import annotations
@@ -9,18 +10,26 @@ from __future__ import annotations
 import json
 import os
 import re
-from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
+import pyarrow as pa
 
-os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-#: Cached pieces of a generation, the longest that is cached, and characters of a text that are held as pieces at a time.
-CACHED, LONGEST, SEGMENT = 400_000, 48, 1 << 19
-
+from tidemark.llm._shared import text_bytes
+from tidemark.llm._words import hash_spans
 
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+#: Words in a worker's table, and bytes of text that are cut into words at a time.
+WORDS, SLICE = 800_000, 1 << 20
 #: Lower-case Latin letters, each one code point in composed form.
 _PLAIN = re.compile("[a-zß-öø-ÿ]+")
+_BLANK = np.zeros(256, bool)
+_BLANK[[0x20, 0x0A]] = True
+_LAST = np.zeros(256, bool)
+_LAST[[0x2C, 0x2E]] = True
+_ALNUM = np.zeros(256, bool)
+_ALNUM[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
 
 
 def default_tokenizer_path() -> str:
@@ -34,20 +43,6 @@ def read_tokenizer(path: str) -> str:
         return f.read()
 
 
-def segments(text: str, size: int = SEGMENT) -> Iterator[str]:
-    """The text in parts of about `size`, cut at a space or line feed alone."""
-    while len(text) > size:
-        cut = max(text.rfind(" ", 0, size), text.rfind("\n", 0, size))
-        if cut < 0:
-            found = [k for k in (text.find(" ", size), text.find("\n", size)) if k >= 0]
-            if not found:
-                break
-            cut = min(found)
-        yield text[:cut]
-        text = text[cut + 1 :]
-    yield text
-
-
 def _splits_at_blanks(spec: dict) -> bool:
     """Whether the tokenizer is of the kind that the cache is made for: it lower-cases, drops blanks, then cuts words from
     numbers and signs. Others encode each text in one call."""
@@ -64,94 +59,96 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.vocab_size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.cache: dict[str, bytes] = {"": b""}
-        self.old: dict[str, bytes] = {}
-        self.by_piece = _splits_at_blanks(json.loads(tokenizer_json))
+        self.by_word = _splits_at_blanks(json.loads(tokenizer_json))
         self.model = self.tokenizer.model
         to_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.bytes_table = {c: to_bytes.pre_tokenize_str(chr(c))[0][0] for c in range(0xDF, 0x100)}
-        self.tails = dict(zip(".,", self._encode([".", ","]), strict=True))
-
-    def _encode(self, pieces: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-
-    def _learn(self, pieces: set[str]) -> dict[str, bytes]:
-        """Puts missing pieces into the cache; returns those that are too long to be kept.
-
-        The cache has two generations: a full one becomes the old one, from which pieces in use are taken over. A piece is
-        put together from its stem and a last full stop or comma: the tokenizer splits these from a letter or digit, and
-        it lower-cases, so stems are kept in lower case alone where that is plain. A stem of plain letters is one word to
-        the normaliser and the splitter, so the library's model takes it directly, in the byte alphabet.
-        """
-        if len(self.cache) + len(pieces) > CACHED:
-            self.old, self.cache = self.cache, {"": b""}
-        cache, old = self.cache, self.old
-        whole: list[tuple[str, str, bytes]] = []
-        wanted: dict[str, None] = {}
-        for p in pieces:
-            if p in cache:
-                continue
-            if p in old:
-                cache[p] = old[p]
-                continue
-            stem, tail = (p[:-1], self.tails[p[-1]]) if p[-1] in self.tails and (p[-2:-1].lower().isalnum() and len(p[-2].lower()) == 1) else (p, b"")
-            low = stem.lower()
-            if stem.isascii() or (len(low) == len(stem) and _PLAIN.fullmatch(low)):
-                stem = low
-            whole.append((p, stem, tail))
-            if stem not in cache and stem not in old:
-                wanted[stem] = None
-        missing, big, plain = [], {}, _PLAIN.fullmatch
-        tokenize, table = self.model.tokenize, self.bytes_table
-        for p in wanted:
-            if plain(p):
-                ids = array("I", [t.id for t in tokenize(p.translate(table))]).tobytes()
-                (cache if len(p) <= LONGEST else big)[p] = ids
-            else:
-                missing.append(p)
-        for k in range(0, len(missing), 20_000):
-            part = missing[k : k + 20_000]
-            for p, ids in zip(part, self._encode(part), strict=True):
-                (cache if len(p) <= LONGEST else big)[p] = ids
-        for p, stem, tail in whole:
-            ids = big.get(stem) or cache.get(stem) or old.get(stem, b"")
-            (cache if len(p) <= LONGEST else big)[p] = ids + tail
-        return big
-
-    def encode(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
-        """One uint32 array for each text, in order."""
-        if not self.by_piece:
-            yield from (np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4") for t in texts)
-            return
-        group: list[list[list[str]]] = []
-        held = 0
-        for text in texts:
-            if len(text) > SEGMENT:
-                yield from self._flush(group)
-                group, held = [], 0
-                out = []
-                for part in segments(text):
-                    out += list(self._flush([[part.replace("\n", " ").split(" ")]]))
-                yield np.concatenate(out)
-                continue
-            group.append([text.replace("\n", " ").split(" ")])
-            held += len(text)
-            if held >= SEGMENT:
-                yield from self._flush(group)
-                group, held = [], 0
-        yield from self._flush(group)
-
-    def _flush(self, group: list[list[list[str]]]) -> Iterator[np.ndarray]:
-        if not group:
+        self.alphabet = {c: to_bytes.pre_tokenize_str(chr(c))[0][0] for c in range(0xDF, 0x100)}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.number: dict[int, int] = {}
+        self.pool, self.used = np.empty(1 << 16, np.uint32), 0
+        self.first, self.count = np.empty(1 << 16, np.int64), np.empty(1 << 16, np.int64)
+
+    def _learn(self, hashes: list[int], words: list[str]) -> None:
+        """Words of plain letters are one piece to normaliser and splitter, so the library's model takes them directly, in
+        the byte alphabet; others go through the whole tokenizer."""
+        plain, tokenize = _PLAIN.fullmatch, self.model.tokenize
+        found: list[list[int] | None] = [[t.id for t in tokenize(w.translate(self.alphabet))] if plain(w) else None for w in words]
+        others = [k for k, ids in enumerate(found) if ids is None]
+        for k, e in zip(others, self.tokenizer.encode_batch_fast([words[k] for k in others], add_special_tokens=False), strict=True):
+            found[k] = e.ids
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        flat = np.fromiter((i for ids in found for i in ids), np.uint32, int(sizes.sum()))
+        n = len(self.number)
+        while self.used + len(flat) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.empty_like(self.pool)])
+        while n + len(words) > len(self.first):
+            self.first, self.count = (np.concatenate([x, np.empty_like(x)]) for x in (self.first, self.count))
+        self.pool[self.used : self.used + len(flat)] = flat
+        self.first[n : n + len(words)] = self.used + np.cumsum(sizes) - sizes
+        self.count[n : n + len(words)] = sizes
+        self.used += len(flat)
+        self.number.update(zip(hashes, range(n, n + len(words)), strict=True))
+
+    def _slice(self, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, the row of each) of a slice; rows begin at starts."""
+        blank, edge = _BLANK[data], np.zeros(len(data) + 1, bool)
+        edge[starts] = True
+        before, after = np.concatenate([[True], blank[:-1]]) | edge[:-1], np.concatenate([blank[1:], [True]]) | edge[1:]
+        # A full stop or comma at a word's end is a word of its own after a letter or digit.
+        last = _LAST[data] & after & ~before & np.concatenate([[False], _ALNUM[data[:-1]]])
+        begin = np.flatnonzero(~blank & (before | last))
+        end = np.flatnonzero((~blank & after) | np.concatenate([last[1:], [False]])) + 1
+        # Special tokens are told by their case, so where one may stand nothing is taken for the same in another case.
+        exact = bool((data == 0x3C).any())
+        hashes = hash_spans(data, begin, end, lower=not exact)
+        if exact:
+            hashes ^= np.uint64(0x9E6C63D0876A9A47)
+        distinct, at, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        if len(self.number) + len(distinct) > WORDS:
+            self._forget()
+        keys = distinct.tolist()
+        number = np.fromiter(map(self.number.get, keys, repeat(-1)), np.int64, len(keys))
+        new = np.flatnonzero(number < 0)
+        if len(new):
+            raw = data.tobytes()
+            words = [raw[begin[k] : end[k]].decode() for k in at[new].tolist()]
+            self._learn([keys[k] for k in new.tolist()], words if exact else [w.lower() if w.isascii() or _PLAIN.fullmatch(w.lower()) and len(w.lower()) == len(w) else w for w in words])
+            number[new] = np.arange(len(self.number) - len(new), len(self.number))
+        word = number[inverse]
+        count = self.count[word]
+        place = np.repeat(self.first[word] - np.cumsum(count) + count, count) + np.arange(int(count.sum()))
+        row = np.searchsorted(starts, begin, "right") - 1
+        return self.pool[place], np.repeat(row, count)
+
+    def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """One uint32 array for each text of a string array without nulls, in order."""
+        if not self.by_word:
+            yield from (np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, np.uint32) for t in texts.to_pylist())
             return
-        distinct: set[str] = set()
-        for (pieces,) in group:
-            distinct.update(pieces)
-        big = self._learn(distinct)
-        get = self.cache.__getitem__
-        for (pieces,) in group:
-            joined = b"".join([big[p] if p in big else get(p) for p in pieces] if big else map(get, pieces))
-            yield np.frombuffer(joined, "<u4")
+        data, starts = text_bytes(texts)
+        parts, counts, at = [], np.zeros(len(texts), np.int64), 0
+        while at < len(data):
+            stop = min(at + SLICE, len(data))
+            if stop < len(data):
+                cut = np.flatnonzero(_BLANK[data[at:stop]])
+                row = int(np.searchsorted(starts, stop, "right")) - 1
+                if starts[row] > at:
+                    stop = max(int(starts[row]), at + int(cut[-1]) + 1 if len(cut) else 0)
+                elif len(cut):
+                    stop = at + int(cut[-1]) + 1
+                else:  # one word longer than a slice
+                    rest = np.flatnonzero(_BLANK[data[stop : starts[row + 1]]])
+                    stop = stop + int(rest[0]) + 1 if len(rest) else int(starts[row + 1])
+            low, high = int(np.searchsorted(starts, at, "right")) - 1, int(np.searchsorted(starts, stop, "left"))
+            ids, row = self._slice(data[at:stop], np.maximum(starts[low:high] - at, 0))
+            counts[low:high] += np.bincount(row, minlength=high - low)
+            parts.append(ids)
+            at = stop
+        ids, ends = np.concatenate(parts) if parts else np.empty(0, np.uint32), np.cumsum(counts)
+        for a, b in zip(ends - counts, ends, strict=True):
+            yield ids[a:b]
 
 
 _encoders: dict[int, Encoder] = {}

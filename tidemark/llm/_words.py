@@ -62,6 +62,12 @@ def word_spans(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nda
 def word_hashes(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(hash, row, begin, end) of every word of the rows. Memory beside the words: a few times SLICE, or the longest word."""
     begin, end = word_spans(data, starts)
+    row = np.searchsorted(starts, begin, "right") - 1
+    return hash_spans(data, begin, end), row, begin, end
+
+
+def hash_spans(data: np.ndarray, begin: np.ndarray, end: np.ndarray, lower: bool = True) -> np.ndarray:
+    """Hashes of the bytes of ascending spans; lower: with A-Z lower-cased."""
     out = np.empty(len(begin), np.uint64)
     k = 0
     with np.errstate(over="ignore"):
@@ -71,13 +77,12 @@ def word_hashes(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.nd
             part = data[base : int(end[stop - 1])]
             sums = np.empty(len(part) + 1, np.uint64)
             sums[0] = 0
-            np.cumsum(_VALUE[_LOWER[part]] * _power(_P, len(part))[: len(part)], out=sums[1:])
+            np.cumsum(_VALUE[_LOWER[part] if lower else part] * _power(_P, len(part))[: len(part)], out=sums[1:])
             b = begin[k:stop] - base
             e = end[k:stop] - base
             out[k:stop] = (sums[e] - sums[b]) * _power(_P_INVERSE, len(part))[b] + (e - b).astype(np.uint64)
             k = stop
-    row = np.searchsorted(starts, begin, "right") - 1
-    return mix(out), row, begin, end
+    return mix(out)
 
 
 def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:

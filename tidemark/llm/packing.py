@@ -222,7 +222,7 @@ def cut_pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer_path: str |
         bits, seen = bits_for(max(encoder.vocab_size, end_id + 1)), np.zeros(capacity + 1, np.int64)
         for batch in text_chunks(batches, "text"):
             rows = []
-            for doc_id, ids in zip(batch.column(1).to_pylist(), encoder.encode(batch.column(0).to_pylist()), strict=True):
+            for doc_id, ids in zip(batch.column(1).to_pylist(), encoder.encode(batch.column(0)), strict=True):
                 ids = np.concatenate([ids, tail])
                 for k, start in enumerate(range(0, len(ids), capacity)):
                     own = ids[start : start + capacity]

@@ -160,7 +160,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str | None = N
         encoder = encoder_of(model.value)
         part, run, done, out = TaskContext.get().partitionId(), uuid.uuid4().hex[:12], [], None
         for batch in text_chunks(batches, "text"):
-            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist()), strict=True):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1)), strict=True):
                 if out is None:
                     name = f"{path}/part-{part:06d}-{len(done):04d}-{run}.ids"
                     out = TokenFileWriter(name, bits_for(encoder.vocab_size), block)
