@@ -159,10 +159,10 @@ def _sum_keys(table: pa.Table) -> pa.Table:
     return pa.table([table.column("kind"), table.column("bucket"), table.column("chunk"), pa.array(out, pa.binary()), pa.array(lead), pa.array(distinct)], names=[x.split()[0] for x in RESPONSE.split(", ")])
 
 
-def exchange(requests: DataFrame) -> DataFrame:
-    """Totals for each request row, written. `total` and `distinct` of a bucket stand in one of its rows: summed over the
+def exchange(requests: DataFrame, bits: int) -> DataFrame:
+    """Totals for each request row, written; buckets are dealt to as many tasks. `total` and `distinct` of a bucket stand in one of its rows: summed over the
     table, the count of everything and of the keys whose total isn't 0."""
-    return written_big(requests.groupBy("kind", "bucket").applyInArrow(_sum_keys, RESPONSE), "totals")
+    return written_big(requests.repartition(1 << bits, "kind", "bucket").groupBy("kind", "bucket").applyInArrow(_sum_keys, RESPONSE), "totals")
 
 
 def answers(table: pa.Table, kind: int, n: int) -> np.ndarray:

@@ -25,8 +25,9 @@ from tidemark.llm._shared import drop_written, written
 from tidemark.llm._words import mix, row_grams
 
 WIDTH, NUMERATOR, DENOMINATOR = 5, 80, 100
-#: Members of a column that one block holds; rounds in which a column's members meet one of them; bits of a sketch.
-BLOCK, ROUNDS, SKETCH = 2048, 3, 1024
+#: Members of a column that one block holds; rounds in which a column's members meet one of them; bits of a sketch; small
+#: columns that one call multiplies.
+BLOCK, ROUNDS, SKETCH, CELL = 2048, 3, 1024, 64
 SETS = "chunk long, local int, row_id long, doc_id long, n long, s1 long, s2 long"
 MATRIX = "node long, n long, token long, pos int, tokens array<long>, sketch binary"
 _NULL_ID = -(1 << 63)
@@ -124,7 +125,7 @@ def _matrix(chunks: DataFrame, classes: DataFrame, width: int, t: tuple[int, int
         keys, counts = np.unique(grams[once[row]], return_counts=True)
         yield from requests_of(1, chunk.id, keys, counts, bits, 6)
 
-    totals = exchange(each_chunk(chunks, ask, REQUEST))
+    totals = exchange(each_chunk(chunks, ask, REQUEST), bits)
 
     def lead(left: pa.Table, right: pa.Table) -> pa.Table:
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.binary()]
@@ -193,11 +194,15 @@ def _roots(matrix: DataFrame, t: tuple[int, int]) -> DataFrame:
             roots = components(links if roots is None else roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(links))
     settled = written(entries.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "entries")
     mixed = settled.groupBy("token").agg(F.count(F.lit(1)).alias("members"), F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1")
-    mixed = mixed.select("token", F.ceil(F.col("members") / F.lit(BLOCK)).cast("int").alias("blocks"))
+    mixed = written(mixed.select("token", F.ceil(F.col("members") / F.lit(BLOCK)).cast("int").alias("blocks")), "mixed")
+    # A column of one block shares a task's call with others; a larger one has a call for every pair of its blocks.
+    cells = max(1, mixed.count() // CELL)
     tiles = settled.join(mixed, "token").join(matrix.filter("token is null").select("node", "sketch"), "node")
     tiles = tiles.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    tiles = tiles.select("token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "n", "pos", "root", "sketch")
-    pairs = tiles.groupBy("token", "i", "j").applyInArrow(_tile(t), "u long, v long").distinct()
+    cell, own = F.pmod(F.xxhash64("token"), F.lit(cells)), F.when(F.col("blocks") > 1, F.col("token")).otherwise(F.lit(0))
+    tiles = tiles.select(cell.alias("cell"), own.alias("own"), F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "token", "node", "n", "pos", "root", "sketch")
+    tasks = min(20_000, max(cells, int(matrix.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    pairs = tiles.repartition(tasks, "cell", "own", "i", "j").groupBy("cell", "own", "i", "j").applyInArrow(_tile(t), "u long, v long").distinct()
     last = written(_verified(pairs, sets, t), "last-links")
     if not last.isEmpty():
         roots = components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(last))
@@ -206,25 +211,32 @@ def _roots(matrix: DataFrame, t: tuple[int, int]) -> DataFrame:
 
 
 def _tile(t: tuple[int, int]):
-    """All pairs of two blocks of a column that join different components and pass the bounds."""
+    """All pairs of two blocks of a column, or within several small columns, that join different components and pass the
+    bounds."""
 
     def pairs(table: pa.Table) -> pa.Table:
-        node, n, pos, root, block, i, j = (table.column(c).to_numpy() for c in ("node", "n", "pos", "root", "block", "i", "j"))
+        token, node, n, pos, root, block, i, j = (table.column(c).to_numpy() for c in ("token", "node", "n", "pos", "root", "block", "i", "j"))
         sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint64).reshape(len(node), -1)
-        left, right = np.flatnonzero(block == i[0]), np.flatnonzero(block == j[0])
-        out = []
-        step = max(1, (1 << 20) // max(1, len(right)))
-        for k in range(0, len(left), step):
-            a, b = left[k : k + step, None], right[None, :]
-            small, large = np.minimum(n[a], n[b]), np.maximum(n[a], n[b])
-            fits = (root[a] != root[b]) & (small * t[1] >= large * t[0]) & (np.minimum(n[a] - pos[a], n[b] - pos[b]) * (t[0] + t[1]) >= (small + large) * t[0])
-            x, y = np.nonzero(fits)
-            x, y = a[x, 0], right[y]
-            apart = np.concatenate([np.bitwise_count(sketch[x[k : k + 65536]] ^ sketch[y[k : k + 65536]]).sum(1, dtype=np.int64) for k in range(0, len(x), 65536)] or [np.empty(0, np.int64)])
-            near = apart * (t[0] + t[1]) <= (n[x] + n[y]) * (t[1] - t[0])
-            u, v = node[x[near]], node[y[near]]
-            out.append(np.stack([np.maximum(u, v), np.minimum(u, v)], 1))
-        found = np.unique(np.concatenate(out), axis=0) if out else np.empty((0, 2), np.int64)
+        order = np.argsort(token, kind="stable")
+        edges = np.flatnonzero(np.concatenate([[True], np.diff(token[order]) != 0, [True]]))
+        out = [np.empty((0, 2), np.int64)]
+        for start, end in zip(edges[:-1], edges[1:], strict=True):
+            own = order[start:end]
+            left, right = own[block[own] == i[0]], own[block[own] == j[0]]
+            step = max(1, (1 << 20) // max(1, len(right)))
+            for k in range(0, len(left), step):
+                a, b = left[k : k + step, None], right[None, :]
+                small, large = np.minimum(n[a], n[b]), np.maximum(n[a], n[b])
+                fits = (root[a] != root[b]) & (small * t[1] >= large * t[0]) & (np.minimum(n[a] - pos[a], n[b] - pos[b]) * (t[0] + t[1]) >= (small + large) * t[0])
+                x, y = np.nonzero(fits)
+                if not len(x):
+                    continue
+                x, y = a[x, 0], right[y]
+                apart = np.concatenate([np.bitwise_count(sketch[x[k : k + 65536]] ^ sketch[y[k : k + 65536]]).sum(1, dtype=np.int64) for k in range(0, len(x), 65536)])
+                near = apart * (t[0] + t[1]) <= (n[x] + n[y]) * (t[1] - t[0])
+                u, v = node[x[near]], node[y[near]]
+                out.append(np.unique(np.stack([np.maximum(u, v), np.minimum(u, v)], 1), axis=0))
+        found = np.unique(np.concatenate(out), axis=0)
         return pa.table([pa.array(found[:, 0], pa.int64()), pa.array(found[:, 1], pa.int64())], names=["u", "v"])
 
     return pairs

@@ -100,7 +100,7 @@ def score_texts(docs: DataFrame, learn: Column, order: int = ORDER, kappa: float
         for n in range(1, order + 1):
             yield from requests_of(n, chunk.id, grams.keys[n - 1], grams.counts[n - 1], bits, _width(n))
 
-    totals = exchange(each_chunk(chunks, ask, REQUEST))
+    totals = exchange(each_chunk(chunks, ask, REQUEST), bits)
     corpus = totals.filter("kind = 1").agg(F.coalesce(F.sum("total"), F.lit(0)).alias("n"), F.coalesce(F.sum("distinct"), F.lit(0)).alias("v")).first()
     texts = chunks.agg(F.coalesce(F.sum("n_docs"), F.lit(0))).first()[0]
     learned = _learned_texts(chunks)
