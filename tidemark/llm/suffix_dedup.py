@@ -239,7 +239,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, core: int = CORE, hot:
                 yield from requests_of(1, chunk.id, cores.keys, cores.counts, bits, 6)
                 give_back()
 
-    totals = exchange(chunks.mapInArrow(ask, REQUEST)).select("kind", "bucket", "chunk", "totals")
+    totals = exchange(chunks.mapInArrow(ask, REQUEST), bits).select("kind", "bucket", "chunk", "totals")
 
     def enter(left: pa.Table, right: pa.Table) -> pa.Table:
         chunk = Bytes(left.to_pylist()[0])
@@ -252,13 +252,14 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, core: int = CORE, hot:
         return pa.table(columns, names=[x.split()[0] for x in ENTRY.split(", ")])
 
     entries = chunks.groupBy("chunk").cogroup(totals.groupBy("chunk")).applyInArrow(enter, ENTRY)
-    flags = written(entries.groupBy("bucket").applyInArrow(_judge(hot), FLAGS), "flags")
+    flags = written(entries.repartition(1 << bits, "bucket").groupBy("bucket").applyInArrow(_judge(hot), FLAGS), "flags")
     none = {c: F.lit(None).cast(kind) for c, kind in (("kind", "int"), ("totals", "binary"), ("flags", "binary"))}
     beside = totals.withColumn("flags", none["flags"]).unionByName(flags.withColumn("kind", none["kind"]).withColumn("totals", none["totals"]))
     records = written_big(chunks.groupBy("chunk").cogroup(beside.groupBy("chunk")).applyInArrow(_recorder(length, core), RECORD), "records")
     drop_written(totals, flags)
-    bucketed = records.filter("kind = 1").withColumn("bucket", F.shiftrightunsigned("key", 64 - bits))
-    settled = bucketed.select("bucket", "chunk", "key", "doc_id", "local", "start", "left", "windows", "context").groupBy("bucket").applyInArrow(_settle(length, core), SPANS)
+    # Suffix sorting takes time rather than bytes, so buckets are dealt to as many tasks, not gathered by size.
+    bucketed = records.filter("kind = 1").withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(4 << bits)))
+    settled = bucketed.repartition(1 << bits, "bucket").select("bucket", "chunk", "key", "doc_id", "local", "start", "left", "windows", "context").groupBy("bucket").applyInArrow(_settle(length, core), SPANS)
     spans = written(settled.unionByName(records.filter("kind = 0").select("chunk", "locals", "begins", "ends")), "spans")
     drop_written(records)
     return chunks.groupBy("chunk").cogroup(spans.groupBy("chunk")).applyInArrow(_cutter(whole_characters), KEPT)
