@@ -88,8 +88,8 @@ class Model:
         return labels, scores
 
 
-def fit(grams: np.ndarray, langs: list[str], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model:
-    """Landmarks are dealt evenly over the labels, in the order of the rows."""
+def fit(packed: np.ndarray, langs: list[str], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model:
+    """packed: the rows' presence, eight n-grams a byte. Landmarks are dealt evenly over the labels, in the order of the rows."""
     labels = sorted(set(langs))
     y = np.array([labels.index(x) for x in langs])
     if not labels:
@@ -98,10 +98,10 @@ def fit(grams: np.ndarray, langs: list[str], landmarks: int = LANDMARKS, ridge:
     for c in range(len(labels)):
         nth[y == c] = np.arange((y == c).sum())
     picks = np.sort(np.lexsort((y, nth))[:landmarks])
-    active = np.flatnonzero(grams[picks].any(0))
-    norm = np.sqrt(np.maximum(grams.sum(1, dtype=np.int64), 1))
-    marks = (grams[picks][:, active].astype(np.float32) / norm[picks, None].astype(np.float32)).T
-    k_nm = np.concatenate([(grams[k : k + 256][:, active].astype(np.float32) @ marks) for k in range(0, len(y), 256)]).astype(np.float64) / norm[:, None]
+    active = np.flatnonzero(np.unpackbits(np.bitwise_or.reduce(packed[picks], axis=0)))
+    norm = np.sqrt(np.maximum(np.bitwise_count(packed).sum(1, dtype=np.int64), 1))
+    marks = (np.unpackbits(packed[picks], axis=1)[:, active].astype(np.float32) / norm[picks, None].astype(np.float32)).T
+    k_nm = np.concatenate([np.unpackbits(packed[k : k + ROWS], axis=1)[:, active].astype(np.float32) @ marks for k in range(0, len(y), ROWS)]).astype(np.float64) / norm[:, None]
     k_mm = k_nm[picks]
     values, vectors = np.linalg.eigh((k_mm + k_mm.T) / 2)
     kept = values > 1e-8 * max(values.max(), 1e-12)
@@ -110,12 +110,11 @@ def fit(grams: np.ndarray, langs: list[str], landmarks: int = LANDMARKS, ridge:
     targets = np.where(y[:, None] == np.arange(len(labels)), 1.0, -1.0)
     weight = (1.0 / np.bincount(y, minlength=len(labels)))[y]
     weight *= len(y) / weight.sum()
-    mean = np.average(phi, axis=0, weights=weight)
-    centred, goal = phi - mean, targets - np.average(targets, axis=0, weights=weight)
+    mean, goal = np.average(phi, axis=0, weights=weight), np.average(targets, axis=0, weights=weight)
+    centred = phi - mean
     gram = (centred * weight[:, None]).T @ centred + ridge * len(y) * np.eye(phi.shape[1])
-    solved = np.linalg.solve(gram, (centred * weight[:, None]).T @ goal)
-    bias = np.average(targets, axis=0, weights=weight) - mean @ solved
-    return Model(labels, active, marks.astype(np.float32), (root @ solved).astype(np.float32), bias.astype(np.float32))
+    solved = np.linalg.solve(gram, (centred * weight[:, None]).T @ (targets - goal))
+    return Model(labels, active, marks.astype(np.float32), (root @ solved).astype(np.float32), (goal - mean @ solved).astype(np.float32))
 
 
 def train(docs: DataFrame, learn: Column, sample_rows: int = SAMPLE_ROWS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
@@ -144,8 +143,8 @@ def train(docs: DataFrame, learn: Column, sample_rows: int = SAMPLE_ROWS, id_col
     found = rows.filter(wanted).select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).mapInArrow(features, "lang string, grams binary").limit(2 * sample_rows + 1000).collect()
     found = sorted((r["lang"], bytes(r["grams"])) for r in found)
     order = np.random.default_rng(5).permutation(len(found))
-    grams = np.unpackbits(np.frombuffer(b"".join(found[k][1] for k in order), np.uint8)).reshape(len(found), -1) if found else np.zeros((0, DIM), np.uint8)
-    return fit(grams, [found[k][0] for k in order])
+    packed = np.frombuffer(b"".join(found[k][1] for k in order), np.uint8).reshape(len(found), DIM // 8)
+    return fit(packed, [found[k][0] for k in order])
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
