@@ -5,9 +5,11 @@ from __future__ import annotations
 import atexit
 import os
 import re
+import shutil
 import tempfile
 import uuid
 from dataclasses import dataclass, field
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -204,7 +206,8 @@ def work_dir(spark: SparkSession, name: str) -> str:
             path = spark._jvm.org.apache.hadoop.fs.Path(uri)
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
         except Exception:  # noqa: BLE001  the session may be gone
-            pass
+            if uri.startswith("file:"):
+                shutil.rmtree(urlparse(uri).path, ignore_errors=True)
 
     atexit.register(forget)
     return uri
