@@ -7,11 +7,13 @@ import contextlib
 import ctypes
 import os
 import re
+import shutil
 import tempfile
 import uuid
 import zipfile
 import zlib
 from collections.abc import Iterable, Iterator
+from urllib.parse import urlparse
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +37,9 @@ def _delete(spark: SparkSession, uri: str) -> None:
     try:
         path = spark._jvm.org.apache.hadoop.fs.Path(uri)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    except Exception:  # noqa: BLE001  the session may be gone at exit; a left folder does no harm
-        pass
+    except Exception:  # noqa: BLE001  the session may be gone at exit
+        if uri.startswith("file:"):
+            shutil.rmtree(urlparse(uri).path, ignore_errors=True)
 
 
 def _forget_later(spark: SparkSession, uri: str) -> None:
