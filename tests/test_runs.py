@@ -5,11 +5,14 @@ import threading
 import urllib.request
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark import cli
 from tidemark.operators.dlq import TooManyFailures
+from tidemark.operators.sink import write_files
 from tidemark.operators.txlog import Table
 from tidemark.plans import config as cf
+from tidemark.sources.ndjson import SOURCE_FILE
 from tidemark.sources.storage import Storage
 from tidemark.streaming.commit import Committer
 from tidemark.streaming.ingest import Ingester
@@ -147,8 +150,11 @@ def test_two_stages(spark, setup):
     committer = Committer(spark, "events", config.tables["events"])
     assert committer.step() == 3 and committer.step() == 0
     assert sorted((r["id"], r["date"]) for r in table.read().collect()) == [(1, "2024-01-01"), (2, "2024-01-01"), (3, "2024-01-02"), (4, "2024-01-02")]
+    assert ("schema_evolutions" in committer.metrics.exposition()) is False
+    files = write_files(spark.createDataFrame([(9, "z", 1.5)], "id long, name string, extra double").withColumn(SOURCE_FILE, F.lit("date=2024-01-09/x")), table.storage, ("date",))
+    assert committer.step() == len(files) == 1 and 'schema_evolutions_total{action="merge",target="events"} 1' in committer.metrics.exposition()
     again = Committer(spark, "events", config.tables["events"])
-    assert again.batch == 1 and again.watermark == committer.watermark and again.step() == 0
+    assert again.batch == 2 and again.watermark == committer.watermark and again.step() == 0
 
 
 def test_limits_and_inference(spark, setup):

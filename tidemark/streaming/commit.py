@@ -71,8 +71,11 @@ class Committer:
         if self.table.snapshot().version < 0:
             self.table.create(keyed[0].schema, columns)
         watermark = max([*(f.path for f in keyed), *([self.watermark] if self.watermark else [])])
+        before = self.table.snapshot().schema
         version = self.table.commit(keyed, self.app_id, self.batch, {"batch": self.batch, "watermark": watermark}, self.config.mode)
         self.watermark, self.batch = watermark, self.batch + 1
+        if self.table.snapshot().schema != before:
+            self.metrics.add("schema_evolutions", target=self.name, action=self.config.mode.value)
         self.metrics.add("files_committed", len(keyed), target=self.name)
         self.metrics.add("records_committed", sum(f.records for f in keyed), target=self.name)
         self.metrics.set("table_version", version, target=self.name)

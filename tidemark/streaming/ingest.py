@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -80,9 +81,12 @@ class Ingester:
         schema = self.resolve_schema()
         if schema is None:
             return out
-        for s in self.sources:
-            pending = sorted((r["path"], r["partition"], r["filename"]) for r in s.pending(self.now).collect())
+        found = lambda s: sorted((r["path"], r["partition"], r["filename"]) for r in s.pending(self.now).collect())
+        with ThreadPoolExecutor(max(1, len(self.sources))) as pool:  # sources are listed side by side
+            listed = list(pool.map(found, self.sources))
+        for s, pending in zip(self.sources, listed, strict=True):
             self.metrics.add("files_discovered", len(pending), target=self.name)
+            self.metrics.set("pending_files", len(pending), target=self.name, source=s.name)
             size = max(1, s.config.checkpoint.interval_files)
             for k in range(0, len(pending), size):
                 part = pending[k : k + size]
