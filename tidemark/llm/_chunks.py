@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm._shared import give_back, ship, text_bytes, text_chunks, written
+from tidemark.llm._shared import give_back, ship, text_bytes, text_chunks, tidy, written
 from tidemark.llm._words import word_hashes
 
 CHUNK_BYTES, BUCKET_TOKENS = 5 << 20, 1 << 20
@@ -162,7 +162,7 @@ def _sum_keys(table: pa.Table) -> pa.Table:
 def exchange(requests: DataFrame, bits: int) -> DataFrame:
     """Totals for each request row, written; buckets are dealt to as many tasks. `total` and `distinct` of a bucket stand in one of its rows: summed over the
     table, the count of everything and of the keys whose total isn't 0."""
-    return written_big(requests.repartition(1 << bits, "kind", "bucket").groupBy("kind", "bucket").applyInArrow(_sum_keys, RESPONSE), "totals")
+    return written_big(requests.repartition(1 << bits, "kind", "bucket").groupBy("kind", "bucket").applyInArrow(tidy(_sum_keys), RESPONSE), "totals")
 
 
 def answers(table: pa.Table, kind: int, n: int) -> np.ndarray:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import contextlib
 import ctypes
+import inspect
 import os
 import re
 import shutil
@@ -12,7 +13,7 @@ import tempfile
 import uuid
 import zipfile
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from urllib.parse import urlparse
 
 import numpy as np
@@ -100,6 +101,18 @@ def give_back() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+def tidy(work: Callable) -> Callable:
+    """A function of groups that gives memory back after each."""
+
+    def run(*tables: pa.Table) -> pa.Table:
+        out = work(*tables)
+        give_back()
+        return out
+
+    # Spark tells by the number of parameters whether a function wants the key too.
+    return (lambda table: run(table)) if len(inspect.signature(work).parameters) == 1 else (lambda left, right: run(left, right))
+
+
 #: Bytes of an Arrow batch, for sessions that leave it at Spark's default.
 ARROW_BYTES, ARROW_CONF, ARROW_DEFAULT = 8 << 20, "spark.sql.execution.arrow.maxBytesPerBatch", 64 << 20
 

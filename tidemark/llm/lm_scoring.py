@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm._chunks import REQUEST, Chunk, answers, bucket_bits, build_chunks, each_chunk, exchange, requests_of
+from tidemark.llm._shared import tidy
 from tidemark.llm._words import END_HASH, mix
 
 ORDER, KAPPA = 2, 150.0
@@ -130,7 +131,7 @@ def score_texts(docs: DataFrame, learn: Column, order: int = ORDER, kappa: float
 
     if not texts:
         return docs.sparkSession.createDataFrame([], SCORES).withColumn("train_tokens", F.lit(0).cast("long"))
-    found = chunks.groupBy("chunk").cogroup(totals.select("kind", "bucket", "chunk", "totals").groupBy("chunk")).applyInArrow(score, SCORES)
+    found = chunks.groupBy("chunk").cogroup(totals.select("kind", "bucket", "chunk", "totals").groupBy("chunk")).applyInArrow(tidy(score), SCORES)
     return found.withColumn("train_tokens", F.lit(n_train).cast("long"))
 
 

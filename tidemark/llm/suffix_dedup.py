@@ -20,13 +20,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm._chunks import REQUEST, _unzip, _zip, answers, exchange, requests_of, written_big
-from tidemark.llm._shared import drop_written, give_back, ship, text_bytes, text_chunks, written
+from tidemark.llm._shared import drop_written, give_back, ship, text_bytes, text_chunks, tidy, written
 from tidemark.llm._suffix_array import repeats
 from tidemark.llm._words import _P, _P_INVERSE, _VALUE, _power, mix
 
 LENGTH, CORE = 100, 80
 #: Bytes of a chunk, bytes hashed at a time, contexts of one core that a bucket takes, symbols of one suffix array.
-CHUNK_BYTES, SLICE, HOT, BLOCK = 5 << 20, 1 << 20, 4000, 400_000
+CHUNK_BYTES, SLICE, HOT, BLOCK = 5 << 20, 1 << 20, 4000, 200_000
 CHUNK = "chunk long, n_docs int, n_bytes long, doc_ids binary, sizes binary, data binary"
 ENTRY = "bucket int, chunk long, n int, cores binary, contexts binary, docs binary"
 FLAGS = "chunk long, bucket int, flags binary"
@@ -251,18 +251,18 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, core: int = CORE, hot:
         columns = [pa.array(used, pa.int32()), pa.array(np.full(len(used), chunk.id)), pa.array(np.diff(cut)[used], pa.int32()), blob(keys), blob(some.context[some.own]), blob(chunk.doc_ids[some.row[some.own]])]
         return pa.table(columns, names=[x.split()[0] for x in ENTRY.split(", ")])
 
-    entries = chunks.groupBy("chunk").cogroup(totals.groupBy("chunk")).applyInArrow(enter, ENTRY)
-    flags = written(entries.repartition(1 << bits, "bucket").groupBy("bucket").applyInArrow(_judge(hot), FLAGS), "flags")
+    entries = chunks.groupBy("chunk").cogroup(totals.groupBy("chunk")).applyInArrow(tidy(enter), ENTRY)
+    flags = written(entries.repartition(1 << bits, "bucket").groupBy("bucket").applyInArrow(tidy(_judge(hot)), FLAGS), "flags")
     none = {c: F.lit(None).cast(kind) for c, kind in (("kind", "int"), ("totals", "binary"), ("flags", "binary"))}
     beside = totals.withColumn("flags", none["flags"]).unionByName(flags.withColumn("kind", none["kind"]).withColumn("totals", none["totals"]))
-    records = written_big(chunks.groupBy("chunk").cogroup(beside.groupBy("chunk")).applyInArrow(_recorder(length, core), RECORD), "records")
+    records = written_big(chunks.groupBy("chunk").cogroup(beside.groupBy("chunk")).applyInArrow(tidy(_recorder(length, core)), RECORD), "records")
     drop_written(totals, flags)
     # Suffix sorting takes time rather than bytes, so buckets are dealt to as many tasks, not gathered by size.
     bucketed = records.filter("kind = 1").withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(4 << bits)))
-    settled = bucketed.repartition(1 << bits, "bucket").select("bucket", "chunk", "key", "doc_id", "local", "start", "left", "windows", "context").groupBy("bucket").applyInArrow(_settle(length, core), SPANS)
+    settled = bucketed.repartition(1 << bits, "bucket").select("bucket", "chunk", "key", "doc_id", "local", "start", "left", "windows", "context").groupBy("bucket").applyInArrow(tidy(_settle(length, core)), SPANS)
     spans = written(settled.unionByName(records.filter("kind = 0").select("chunk", "locals", "begins", "ends")), "spans")
     drop_written(records)
-    return chunks.groupBy("chunk").cogroup(spans.groupBy("chunk")).applyInArrow(_cutter(whole_characters), KEPT)
+    return chunks.groupBy("chunk").cogroup(spans.groupBy("chunk")).applyInArrow(tidy(_cutter(whole_characters)), KEPT)
 
 
 def _recorder(length: int, core: int):
