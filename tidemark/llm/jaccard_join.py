@@ -5,8 +5,9 @@ rare to frequent. Two sets with similarity t or more must share a column among t
 from their first common column on there must be room for the overlap that their sizes require. So only those leading
 entries are multiplied, column by column, in blocks; pairs that the bounds leave get their overlap counted in full. Links are
 found in rounds: first each column's members against one of them, a smallest and then others, as long as the column joins
-different components; at last, where one still does, all its pairs across components, less those whose sketches (parities
-of hashed shingles) differ in more places than a link's sets may. Pairs inside a component never need to be formed, nor
+different components; then, where one still does, each member against its nearest in every other component; and at last
+all pairs across components that are left, less those whose sketches (parities of hashed shingles) differ in more places than
+a link's sets may. Pairs inside a component never need to be formed, nor
 pairs of copies.
 """
 
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm._chunks import REQUEST, Chunk, answers, bucket_bits, build_chunks, each_chunk, exchange, requests_of
 from tidemark.llm._components import components
-from tidemark.llm._shared import drop_written, written
+from tidemark.llm._shared import drop_written, tidy, written
 from tidemark.llm._words import mix, row_grams
 
 WIDTH, NUMERATOR, DENOMINATOR = 5, 80, 100
@@ -162,13 +163,15 @@ def _matrix(chunks: DataFrame, classes: DataFrame, width: int, t: tuple[int, int
         return pa.concat_tables([a, b])
 
     beside = totals.select("chunk", "kind", "bucket", "totals", F.lit(None).cast("int").alias("local")).unionByName(classes.select("chunk", F.lit(None).cast("int").alias("kind"), F.lit(None).cast("int").alias("bucket"), F.lit(None).cast("binary").alias("totals"), "local"))
-    out = written(chunks.groupBy("chunk").cogroup(beside.groupBy("chunk")).applyInArrow(lead, MATRIX), "matrix")
+    out = written(chunks.groupBy("chunk").cogroup(beside.groupBy("chunk")).applyInArrow(tidy(lead), MATRIX), "matrix")
     drop_written(totals)
     return out
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, t: tuple[int, int]) -> DataFrame:
-    """Of the pairs (u, v), those whose overlap, counted in full, makes them a link."""
+    """Of the distinct pairs (u, v), those whose overlap, counted in full, makes them a link. They are written first, so that
+    both joins begin with an exchange of their own, whose large parts Spark can split: a node may be in any share of them."""
+    pairs = written(pairs.distinct(), "pairs")
     left = sets.select(F.col("node").alias("u"), F.col("n").alias("n_u"), F.col("tokens").alias("of_u"))
     right = sets.select(F.col("node").alias("v"), F.col("n").alias("n_v"), F.col("tokens").alias("of_v"))
     overlap = F.size(F.array_intersect("of_u", "of_v")).cast("long")
@@ -188,11 +191,22 @@ def _roots(matrix: DataFrame, t: tuple[int, int]) -> DataFrame:
         first = F.col("n") if turn == 0 else F.xxhash64(F.lit(turn), "node")
         hubs = settled.groupBy("token").agg(F.min(F.struct(first.alias("first"), "node", "n", "pos", "root")).alias("hub"), differ.alias("open")).filter("open").select("token", "hub")
         stars = settled.join(hubs, "token").filter((F.col("root") != F.col("hub.root")) & _room(F.col("n"), F.col("pos"), F.col("hub.n"), F.col("hub.pos"), t))
-        pairs = stars.select(F.greatest("node", "hub.node").alias("u"), F.least("node", "hub.node").alias("v")).distinct()
+        pairs = stars.select(F.greatest("node", "hub.node").alias("u"), F.least("node", "hub.node").alias("v"))
         links = written(_verified(pairs, sets, t), "star-links")
         if roots is None or not links.isEmpty():
             roots = components(links if roots is None else roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(links))
-    settled = written(entries.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "entries")
+    for every in (False, True):
+        settled = written(entries.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "entries")
+        links = written(_verified(_cross_pairs(settled, matrix, t, every), sets, t), "cross-links")
+        if not links.isEmpty():
+            roots = components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(links))
+        drop_written(settled)
+    return roots
+
+
+def _cross_pairs(settled: DataFrame, matrix: DataFrame, t: tuple[int, int], every: bool) -> DataFrame:
+    """Pairs (u, v) of columns that join different components: for each node its nearest one in each other component, by
+    the sketches, or every one that the bounds leave."""
     mixed = settled.groupBy("token").agg(F.count(F.lit(1)).alias("members"), F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1")
     mixed = written(mixed.select("token", F.ceil(F.col("members") / F.lit(BLOCK)).cast("int").alias("blocks")), "mixed")
     # A column of one block shares a task's call with others; a larger one has a call for every pair of its blocks.
@@ -202,17 +216,11 @@ def _roots(matrix: DataFrame, t: tuple[int, int]) -> DataFrame:
     cell, own = F.pmod(F.xxhash64("token"), F.lit(cells)), F.when(F.col("blocks") > 1, F.col("token")).otherwise(F.lit(0))
     tiles = tiles.select(cell.alias("cell"), own.alias("own"), F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "token", "node", "n", "pos", "root", "sketch")
     tasks = min(20_000, max(cells, int(matrix.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    pairs = tiles.repartition(tasks, "cell", "own", "i", "j").groupBy("cell", "own", "i", "j").applyInArrow(_tile(t), "u long, v long").distinct()
-    last = written(_verified(pairs, sets, t), "last-links")
-    if not last.isEmpty():
-        roots = components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(last))
-    drop_written(settled)
-    return roots
+    return tiles.repartition(tasks, "cell", "own", "i", "j").groupBy("cell", "own", "i", "j").applyInArrow(tidy(_tile(t, every)), "u long, v long")
 
 
-def _tile(t: tuple[int, int]):
-    """All pairs of two blocks of a column, or within several small columns, that join different components and pass the
-    bounds."""
+def _tile(t: tuple[int, int], every: bool):
+    """Pairs of two blocks of a column, or within several small columns, that join different components and pass the bounds."""
 
     def pairs(table: pa.Table) -> pa.Table:
         token, node, n, pos, root, block, i, j = (table.column(c).to_numpy() for c in ("token", "node", "n", "pos", "root", "block", "i", "j"))
@@ -234,7 +242,13 @@ def _tile(t: tuple[int, int]):
                 x, y = a[x, 0], right[y]
                 apart = np.concatenate([np.bitwise_count(sketch[x[k : k + 65536]] ^ sketch[y[k : k + 65536]]).sum(1, dtype=np.int64) for k in range(0, len(x), 65536)])
                 near = apart * (t[0] + t[1]) <= (n[x] + n[y]) * (t[1] - t[0])
-                u, v = node[x[near]], node[y[near]]
+                x, y, apart = x[near], y[near], apart[near]
+                if not every and len(x):
+                    nearest = np.lexsort((apart, root[y], x))
+                    x, y = x[nearest], y[nearest]
+                    lead = np.concatenate([[True], (x[1:] != x[:-1]) | (root[y][1:] != root[y][:-1])])
+                    x, y = x[lead], y[lead]
+                u, v = node[x], node[y]
                 out.append(np.unique(np.stack([np.maximum(u, v), np.minimum(u, v)], 1), axis=0))
         found = np.unique(np.concatenate(out), axis=0)
         return pa.table([pa.array(found[:, 0], pa.int64()), pa.array(found[:, 1], pa.int64())], names=["u", "v"])
