@@ -9,10 +9,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm._shared import ship, written
+from tidemark.llm._shared import ship, tidy, written
 
-#: Bits of a cell number, components that a block holds at most, components that a group of query blocks should hold, and exact rows read at a time.
-CELL_BITS, BLOCK_VALUES, QUERY_VALUES, STEP = 6, 1 << 20, 1 << 22, 32
+#: Bits of a cell number, components that a block holds at most, components that a group of query blocks should
+#: hold, exact rows read at a time, and data blocks of a group.
+CELL_BITS, BLOCK_VALUES, QUERY_VALUES, STEP, GROUP = 6, 1 << 20, 1 << 22, 32, 8
 SCALE = 1024
 BLOCK = "block long, dim int, n int, ids binary, values binary"
 
@@ -122,10 +123,11 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 10, id_col: str = "vec_i
     data = written(_blocks(rows.select("id", "v"), BLOCK_VALUES), "vector-blocks")
     asks = written(_blocks(rows.filter("asked").groupBy("id").agg(F.min("v").alias("v")), BLOCK_VALUES), "query-blocks")
     held = asks.agg(F.coalesce(F.sum(F.col("n").cast("long") * F.col("dim")), F.lit(0))).first()[0]
-    data_groups, query_groups = max(1, 2 * data.count()), max(1, -(-held // QUERY_VALUES))
+    blocks = data.count()  # each group has up to GROUP blocks, so that queries are sent to fewer places as the data grow
+    data_groups, query_groups = max(1, min(2 * blocks, 64), blocks // GROUP), max(1, -(-held // QUERY_VALUES))
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = data.withColumn("g", F.pmod(F.xxhash64("block"), F.lit(data_groups)).cast("int")).withColumn("q", spread(query_groups))
     right = asks.withColumn("q", F.pmod(F.xxhash64("block"), F.lit(query_groups)).cast("int")).withColumn("g", spread(data_groups))
-    found = left.groupBy("dim", "g", "q").cogroup(right.groupBy("dim", "g", "q")).applyInArrow(_searcher(k), "query_id long, vec_id long, score long")
+    found = left.groupBy("dim", "g", "q").cogroup(right.groupBy("dim", "g", "q")).applyInArrow(tidy(_searcher(k)), "query_id long, vec_id long, score long")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
