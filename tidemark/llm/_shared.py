@@ -127,7 +127,9 @@ def ship(spark: SparkSession) -> None:
     if getattr(context, "_tidemark_shipped", False):
         return
     top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    name = os.path.join(tempfile.mkdtemp(prefix="tidemark-ship-"), "tidemark_ship.zip")
+    folder = tempfile.mkdtemp(prefix="tidemark-ship-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    name = os.path.join(folder, "tidemark_ship.zip")
     with zipfile.ZipFile(name, "w") as z:
         for folder, _, files in os.walk(top):
             for f in files:
