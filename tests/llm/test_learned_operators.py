@@ -141,6 +141,20 @@ def test_leaks_are_found_and_clean_texts_are_not(spark, block_bytes):
     assert [r["text"] for r in clean.filter("doc_id = 900").collect()] == [None]
 
 
+def test_edited_items_in_many_documents_are_found(spark):
+    rng = random.Random(3)
+    own = [f"w{k}" for k in range(38)]
+    versions = [[f"e{v}" if k in at else w for k, w in enumerate(own)] for v, at in enumerate([(6, 17, 28), (9, 20, 31)])]
+    items = spark.createDataFrame([(1, " ".join(own)), (2, prose(rng, 30))], "item_id long, text string")
+    docs = [(k, f"{prose(rng, 12)} {' '.join(versions[k % 4 == 0])} {prose(rng, 12)}", "en", "s", 1) for k in range(120)]
+    docs += [(k, f"{' '.join(own[10:13])} {prose(rng, 30)}", "en", "s", 1) for k in range(200, 250)]
+    assert 30 > max(decontamination.MIN_RARE, decontamination.RARE_SHARE * len(docs))
+    out = decontamination.find_leaks(frame(spark, docs), items).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in out} == {(k, 1) for k in range(120)}
+    assert {r["score"] for r in out} == {(2 * 35 - 3) / 76}
+    assert decontamination.drop_leaks(frame(spark, docs), items).count() == 50
+
+
 def test_leaks_of_empty_tables(spark):
     items = spark.createDataFrame([], "item_id long, text string")
     docs = frame(spark, corpus()[:5])

@@ -5,7 +5,7 @@ from __future__ import annotations
 import functools
 import math
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 from tidemark.llm._shared import ship, text_bytes, text_chunks
 from tidemark.llm._words import plain_word_spans, plain_words, row_grams
 
-#: Words of a seed; a seed is rare if at most this share of the documents (or MIN_RARE of them) holds it; each item keeps its
-#: rarest KEPT seeds in any case; bytes of items that are sent to the executors at a time.
-SEED, RARE_SHARE, MIN_RARE, KEPT, BLOCK_BYTES = 3, 2e-4, 20, 8, 32 << 20
+#: Words of a seed; a seed is rare if at most this share of the documents (or MIN_RARE of them) holds it, else common; bytes of
+#: items that are sent to the executors at a time; places of seeds that a task lists at a time.
+SEED, RARE_SHARE, MIN_RARE, BLOCK_BYTES, PLACES = 3, 2e-4, 20, 32 << 20, 1 << 19
 #: Alignment: a matching word, a differing one, a skipped one; the least share of the best possible score that is reported.
 MATCH, MISMATCH, GAP, THRESHOLD = 2, -1, 1, 0.5
 HITS = "doc_id long, item_id long, score double, words int, begin_byte long, end_byte long"
@@ -47,6 +47,17 @@ class Items:
     grams: np.ndarray  # distinct, sorted
     first: np.ndarray  # of each gram, where its places begin
     places: np.ndarray  # (item number, word) of the grams, by gram
+    common: np.ndarray  # of each gram, whether many documents hold it
+
+    @functools.cached_property
+    def lengths(self) -> np.ndarray:
+        return np.array([len(w) for w in self.words], np.int64)
+
+    @functools.cached_property
+    def vocabulary(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(the items' distinct words, each item word's number among them, where each item begins in that)."""
+        distinct, codes = np.unique(np.concatenate([*self.words, np.empty(0, np.uint64)]), return_inverse=True)
+        return distinct, codes, np.concatenate([[0], np.cumsum(self.lengths)]).astype(np.int64)
 
     @functools.cached_property
     def sieve(self) -> np.ndarray:
@@ -65,7 +76,7 @@ class Items:
         sizes = np.diff(np.concatenate([self.first, [len(self.places)]]))
         picked = np.repeat(keep, sizes)
         kept = sizes[keep]
-        return Items(self.ids, self.words, self.grams[keep], np.concatenate([[0], np.cumsum(kept)[:-1]]).astype(np.int64) if len(kept) else np.empty(0, np.int64), self.places[picked])
+        return Items(self.ids, self.words, self.grams[keep], np.concatenate([[0], np.cumsum(kept)[:-1]]).astype(np.int64) if len(kept) else np.empty(0, np.int64), self.places[picked], self.common[keep])
 
 
 def read_items(rows: list[tuple[int, str]], seed: int = SEED) -> Items:
@@ -77,40 +88,62 @@ def read_items(rows: list[tuple[int, str]], seed: int = SEED) -> Items:
     order = np.lexsort((first, grams))
     grams, places = grams[order], np.stack([at[order], first[order] - cut[at[order]]], 1) if len(order) else np.empty((0, 2), np.int64)
     distinct, begin = np.unique(grams, return_index=True)
-    return Items(np.array([r[0] for r in rows], np.int64), [words[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)], distinct, begin, places)
+    return Items(np.array([r[0] for r in rows], np.int64), [words[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)], distinct, begin, places, np.zeros(len(distinct), bool))
 
 
 def _seeds(items: Items, frequency: np.ndarray, documents: int) -> Items:
-    rare = max(MIN_RARE, documents * RARE_SHARE)
-    keep = frequency <= rare
-    sizes = np.diff(np.concatenate([items.first, [len(items.places)]]))
-    gram = np.repeat(np.arange(len(items.grams)), sizes)
-    item = items.places[:, 0] if len(items.places) else np.empty(0, np.int64)
-    order = np.lexsort((gram, frequency[gram], item))
-    rank = np.arange(len(order)) - np.searchsorted(item[order], item[order])
-    keep[gram[order[rank < KEPT]]] = True
-    return items.only(keep)
-
-
-def _windows(items: Items, row: np.ndarray, begin: np.ndarray, number: np.ndarray, n_words: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
-    """(row, item, from word, to word) around seeds; windows of one row and item that touch are one. begin: a seed's first word in its row."""
+    """The items with every seed that a document holds, and which of these are common."""
+    marked = replace(items, common=frequency > max(MIN_RARE, documents * RARE_SHARE))
+    return marked.only(frequency > 0)
+
+
+def _worth(items: Items, threshold: float, words: np.ndarray, picked: np.ndarray) -> np.ndarray:
+    """Which of the picked items have `threshold` of their words among a document's words; no other can reach that score."""
+    distinct, codes, begin = items.vocabulary
+    at = np.minimum(np.searchsorted(distinct, words), len(distinct) - 1)
+    held = np.zeros(len(distinct), bool)
+    held[at[distinct[at] == words]] = True
+    sizes = items.lengths[picked]
+    ends = np.cumsum(sizes)
+    own = held[codes[np.repeat(begin[picked] - ends + sizes, sizes) + np.arange(ends[-1])]]
+    return np.add.reduceat(own, ends - sizes, dtype=np.int64) >= threshold * sizes
+
+
+def _hits(items: Items, threshold: float, words: np.ndarray, cut: np.ndarray, row: np.ndarray, begin: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """(row, item, from word, to word) around every place of the seeds, of all rare ones and of the common ones whose item can
+    still reach the threshold. Places are listed PLACES at a time, whatever a seed's frequency."""
     sizes = np.diff(np.concatenate([items.first, [len(items.places)]]))[number]
-    hit = np.repeat(np.arange(len(number)), sizes)
-    within = np.arange(len(hit)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    place = items.places[items.first[number[hit]] + within]
-    length = np.array([len(w) for w in items.words], np.int64)[place[:, 0]] if len(hit) else np.empty(0, np.int64)
-    margin = length // 2 + 2
-    low = np.maximum(begin[hit] - place[:, 1] - margin, 0)
-    high = np.minimum(begin[hit] - place[:, 1] + length + margin, n_words[row[hit]])
-    order = np.lexsort((low, place[:, 0], row[hit]))
-    r, i, low, high = row[hit][order], place[order, 0], low[order], high[order]
+    ends, out = np.cumsum(sizes), [np.empty((0, 4), np.int64)]
+    for start in range(0, int(ends[-1]) if len(ends) else 0, PLACES):
+        listed = np.arange(start, min(start + PLACES, int(ends[-1])))
+        hit = np.searchsorted(ends, listed, "right")
+        place = items.places[items.first[number[hit]] + listed - (ends - sizes)[hit]]
+        pair = row[hit] * len(items.words) + place[:, 0]
+        common = items.common[number[hit]]
+        doubtful = np.setdiff1d(pair[common], pair[~common])
+        for r in np.unique(doubtful // len(items.words)).tolist():
+            low, high = np.searchsorted(doubtful, [r * len(items.words), (r + 1) * len(items.words)])
+            picked = doubtful[low:high] % len(items.words)
+            doubtful[low:high][_worth(items, threshold, words[cut[r] : cut[r + 1]], picked)] = -1
+        use = ~np.isin(pair, doubtful)
+        hit, place = hit[use], place[use]
+        length = items.lengths[place[:, 0]]
+        margin = length // 2 + 2
+        base = begin[hit] - place[:, 1]
+        out.append(np.stack([row[hit], place[:, 0], np.maximum(base - margin, 0), np.minimum(base + length + margin, np.diff(cut)[row[hit]])], 1))
+    return np.concatenate(out)
+
+
+def _windows(hits: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+    """(row, item, from word, to word): windows of one row and item that touch are one."""
+    r, i, low, high = hits[np.lexsort((hits[:, 2], hits[:, 1], hits[:, 0]))].T.tolist()
     k = 0
     while k < len(r):
         stop, top = k + 1, high[k]
         while stop < len(r) and r[stop] == r[k] and i[stop] == i[k] and low[stop] <= top:
             top = max(top, high[stop])
             stop += 1
-        yield int(r[k]), int(i[k]), int(low[k]), int(top)
+        yield r[k], i[k], low[k], top
         k = stop
 
 
@@ -118,7 +151,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHO
     """(doc_id, item_id, score, words, begin_byte, end_byte): each document and test item of which it holds a copy.
 
     Words are runs of ASCII letters, digits and non-ASCII characters, lower-cased. Seeds are the items' `seed`-word n-grams
-    that few of all documents hold, and each item's rarest in any case. Around seeds the item is aligned with the text;
+    that few of all documents hold; the others lead to an item only in documents with enough of its words for `threshold`, which
+    loses nothing. So every item is aligned that shares a seed with the text and can reach the threshold;
     score is the best alignment's share of the item's own, reported from `threshold`; the bytes bound the copy.
 
     Items go to the executors in blocks of about block_bytes, one after the other if there are more. Null and empty
@@ -205,7 +239,7 @@ def _leaks(texts: pa.Array, items: Items, threshold: float, seed: int) -> list[t
     grams, rows, first = row_grams(words, row, seed)
     at, number = items.find(grams)
     best: dict[tuple[int, int], tuple[int, int, int]] = {}
-    for r, i, low, high in _windows(items, rows[at], first[at] - cut[rows[at]], number, np.diff(cut)):
+    for r, i, low, high in _windows(_hits(items, threshold, words, cut, rows[at], first[at] - cut[rows[at]], number)):
         item, base = items.words[i], int(cut[r])
         part = words[base + low : base + high]
         if np.isin(item, part).mean() < threshold:
