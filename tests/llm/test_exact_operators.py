@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tests.llm.helpers import corpus, edited, frame, prose, rows, words
 
-from tidemark.llm import jaccard_join, lm_scoring, packing, sharding, suffix_dedup, token_output, topk_search
+from tidemark.llm import _chunks, jaccard_join, lm_scoring, packing, sharding, suffix_dedup, token_output, topk_search
 from tidemark.llm._shared import id_crc32
 from tidemark.llm._suffix_array import suffix_array
 from tidemark.llm._tokens import Encoder, default_tokenizer_path, read_tokenizer
@@ -88,6 +88,16 @@ def test_scores_are_those_of_the_automaton(spark, order):
         assert r["score"] == pytest.approx(score)
 
 
+def test_totals_of_any_size():
+    keys, each = np.array([3, 7, 9], np.uint64), np.array([3_000_000_000, 5, 0], np.uint32)
+    rows = [(0, keys, each), (1, keys, each), (2, keys[1:], each[1:])]
+    columns = [[1] * 3, [0] * 3, [c for c, *_ in rows], [8] * 3, [k.tobytes() for _, k, _ in rows], [n.tobytes() for *_, n in rows]]
+    table = _chunks._sum_keys(pa.table(columns, names=[x.split()[0] for x in _chunks.REQUEST.split(", ")]))
+    for k, (chunk, own, _) in enumerate(rows):
+        assert _chunks.answers(table.slice(k, 1), 1, len(own)).tolist() == [6_000_000_000, 15, 0][chunk // 2 :]
+    assert sum(table.column("total").to_pylist()) == 6_000_000_015 and sum(table.column("distinct").to_pylist()) == 2
+
+
 def test_scores_with_odd_rows(spark):
     data = with_odd_rows(corpus())
     out = lm_scoring.score_texts(frame(spark, data), id_crc32("doc_id") % 7 != 2).collect()

@@ -137,6 +137,16 @@ def _keys(blob: bytes, width: int) -> np.ndarray:
     return np.frombuffer(blob, np.uint32, n).astype(np.uint64) | np.frombuffer(blob, np.uint16, n, 4 * n).astype(np.uint64) << np.uint64(32)
 
 
+def _narrow(totals: np.ndarray) -> bytes:
+    """Totals in 4 bytes each, or in 8 if one of them needs it, and that width as the last byte."""
+    width = 4 if not len(totals) or totals.max() <= 0xFFFFFFFF else 8
+    return totals.astype(f"<u{width}", copy=False).tobytes() + bytes([width])
+
+
+def _wide(blob: bytes) -> np.ndarray:
+    return np.frombuffer(blob, f"<u{blob[-1]}", len(blob) // blob[-1])
+
+
 def _sum_keys(table: pa.Table) -> pa.Table:
     """Sums counts by key over the rows of one (kind, bucket)."""
     widths = table.column("width").to_pylist()
@@ -148,10 +158,10 @@ def _sum_keys(table: pa.Table) -> pa.Table:
     order = np.argsort(joined, kind="stable")
     first = np.flatnonzero(np.concatenate([[True], np.diff(joined[order]) != 0]))
     sums = np.add.reduceat(counts[order], first)
-    totals = np.empty(len(joined), np.uint32)
-    totals[order] = np.repeat(np.minimum(sums, 0xFFFFFFFF), np.diff(np.concatenate([first, [len(joined)]])))
+    totals = np.empty(len(joined), np.uint32 if sums.max() <= 0xFFFFFFFF else np.uint64)
+    totals[order] = np.repeat(sums.astype(totals.dtype), np.diff(np.concatenate([first, [len(joined)]])))
     cut = np.concatenate([[0], np.cumsum(sizes)])
-    out = [totals[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)]
+    out = [_narrow(totals[a:b]) for a, b in zip(cut[:-1], cut[1:], strict=True)]
     n = table.num_rows
     lead = np.zeros(n, np.int64)
     lead[0], distinct = sums.sum(), np.zeros(n, np.int64)
@@ -166,9 +176,9 @@ def exchange(requests: DataFrame, bits: int) -> DataFrame:
 
 
 def answers(table: pa.Table, kind: int, n: int) -> np.ndarray:
-    """A chunk's totals for its n sorted keys of one kind."""
+    """A chunk's totals for its n sorted keys of one kind: uint32, or uint64 where one of them needs it."""
     rows = sorted((b, t) for k, b, t in zip(table.column("kind").to_pylist(), table.column("bucket").to_pylist(), table.column("totals").to_pylist(), strict=True) if k == kind)
-    out = np.frombuffer(b"".join(t for _, t in rows), np.uint32)
+    out = np.concatenate([_wide(t) for _, t in rows]) if rows else np.empty(0, np.uint32)
     if len(out) != n:
         raise ValueError(f"{len(out)} answers to {n} keys")
     return out
