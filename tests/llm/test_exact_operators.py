@@ -91,7 +91,7 @@ def test_scores_are_those_of_the_automaton(spark, order):
 def test_totals_of_any_size():
     keys, each = np.array([3, 7, 9], np.uint64), np.array([3_000_000_000, 5, 0], np.uint32)
     rows = [(0, keys, each), (1, keys, each), (2, keys[1:], each[1:])]
-    columns = [[1] * 3, [0] * 3, [c for c, *_ in rows], [8] * 3, [k.tobytes() for _, k, _ in rows], [n.tobytes() for *_, n in rows]]
+    columns = [[1] * 3, [0] * 3, [c for c, *_ in rows], [8] * 3, [k.tobytes() for _, k, _ in rows], [_chunks._zip(n) for *_, n in rows]]
     table = _chunks._sum_keys(pa.table(columns, names=[x.split()[0] for x in _chunks.REQUEST.split(", ")]))
     for k, (chunk, own, _) in enumerate(rows):
         assert _chunks.answers(table.slice(k, 1), 1, len(own)).tolist() == [6_000_000_000, 15, 0][chunk // 2 :]

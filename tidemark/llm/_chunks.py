@@ -1,10 +1,11 @@
 """Chunks of documents as word streams, and the exchange that sums a key's counts over all chunks.
 
 A chunk is a run of whole documents with about CHUNK_BYTES of text, stored as one row: its sorted word hashes and, for
-every word of every document, an index into them; `first` numbers its documents, uniquely in the table. Corpus statistics go through `exchange`: each chunk sends every
-distinct key once, with its own count, as compact arrays dealt by the key's first bits; the bucket that owns a key sums
-the counts and answers each chunk with totals, in the order of the keys it sent. So a key with any share of all
-rows costs one entry a chunk, and nothing that grows with the corpus is broadcast or collected.
+every word of every document, an index into them; `first` numbers its documents, uniquely in the table. Corpus statistics
+go through `exchange`: each chunk sends every distinct key once, with its own count, as compact arrays dealt by the key's
+first bits; the bucket that owns a key sums the counts and answers each chunk with totals, in the order of the keys it sent.
+So a key with any share of all rows costs one entry a chunk, and nothing that grows with the corpus is broadcast or
+collected.
 """
 
 from __future__ import annotations
@@ -20,12 +21,12 @@ from pyspark.sql import functions as F
 from tidemark.llm._shared import give_back, ship, text_bytes, text_chunks, tidy, written
 from tidemark.llm._words import word_hashes
 
-CHUNK_BYTES, BUCKET_TOKENS = 5 << 20, 1 << 20
+CHUNK_BYTES, BUCKET_TOKENS = 3 << 20, 1 << 20
 CHUNK = "chunk long, first long, n_docs int, n_tokens long, doc_ids binary, marks binary, sizes binary, vocab binary, stream binary"
 REQUEST = "kind int, bucket int, chunk long, width int, keys binary, counts binary"
 RESPONSE = "kind int, bucket int, chunk long, totals binary, total long, distinct long"
 #: Rows are megabytes each, so the writer looks at its buffer after every row.
-BIG_ROWS = {"compression": "zstd", "parquet.block.size.row.check.min": "1", "parquet.page.size.row.check.min": "1", "parquet.block.size": str(32 << 20)}
+BIG_ROWS = {"compression": "zstd", "parquet.block.size.row.check.min": "1", "parquet.page.size.row.check.min": "1", "parquet.block.size": str(8 << 20)}
 
 
 def written_big(df: DataFrame, name: str) -> DataFrame:
@@ -110,20 +111,20 @@ def bucket_bits(chunks: DataFrame, a_bucket: int = BUCKET_TOKENS) -> int:
 
 
 def requests_of(kind: int, chunk: int, keys: np.ndarray, counts: np.ndarray, bits: int, width: int = 8) -> Iterator[pa.RecordBatch]:
-    """The rows that carry sorted distinct keys and their counts. width 6 sends the 48 bits after the bucket's."""
+    """The rows that carry sorted distinct keys and their counts. width 5 or 6 sends the 40 or 48 bits after the bucket's."""
     if not len(keys):
         return
     bucket = keys >> np.uint64(64 - bits)
     cut = np.searchsorted(bucket, np.arange((1 << bits) + 1, dtype=np.uint64))
     used = np.flatnonzero(np.diff(cut))
-    if width == 6:
-        kept = keys << np.uint64(bits) >> np.uint64(16)
-        low, high = (kept & np.uint64(0xFFFFFFFF)).astype(np.uint32), (kept >> np.uint64(32)).astype(np.uint16)
+    if width < 8:
+        kept = keys << np.uint64(bits) >> np.uint64(64 - 8 * width)
+        low, high = (kept & np.uint64(0xFFFFFFFF)).astype(np.uint32), (kept >> np.uint64(32)).astype(f"<u{width - 4}")
         blobs = [low[cut[b] : cut[b + 1]].tobytes() + high[cut[b] : cut[b + 1]].tobytes() for b in used]
     else:
         blobs = [keys[cut[b] : cut[b + 1]].tobytes() for b in used]
     n = len(used)
-    numbers = [counts[cut[b] : cut[b + 1]].astype(np.uint32).tobytes() for b in used]
+    numbers = [_zip(counts[cut[b] : cut[b + 1]].astype(np.uint32)) for b in used]
     yield pa.RecordBatch.from_arrays(
         [pa.array(np.full(n, kind), pa.int32()), pa.array(used, pa.int32()), pa.array(np.full(n, chunk), pa.int64()), pa.array(np.full(n, width), pa.int32()), pa.array(blobs, pa.binary()), pa.array(numbers, pa.binary())],
         names=[x.split()[0] for x in REQUEST.split(", ")],
@@ -133,8 +134,8 @@ def requests_of(kind: int, chunk: int, keys: np.ndarray, counts: np.ndarray, bit
 def _keys(blob: bytes, width: int) -> np.ndarray:
     if width == 8:
         return np.frombuffer(blob, np.uint64)
-    n = len(blob) // 6
-    return np.frombuffer(blob, np.uint32, n).astype(np.uint64) | np.frombuffer(blob, np.uint16, n, 4 * n).astype(np.uint64) << np.uint64(32)
+    n = len(blob) // width
+    return np.frombuffer(blob, np.uint32, n).astype(np.uint64) | np.frombuffer(blob, f"<u{width - 4}", n, 4 * n).astype(np.uint64) << np.uint64(32)
 
 
 def _narrow(totals: np.ndarray) -> bytes:
@@ -154,10 +155,10 @@ def _sum_keys(table: pa.Table) -> pa.Table:
     sizes = [len(k) for k in keys]
     joined = np.concatenate(keys)
     del keys
-    counts = np.concatenate([np.frombuffer(c, np.uint32) for c in table.column("counts").to_pylist()]).astype(np.int64)
+    counts = np.concatenate([_unzip(c, np.uint32, n) for c, n in zip(table.column("counts").to_pylist(), sizes, strict=True)])
     order = np.argsort(joined, kind="stable")
     first = np.flatnonzero(np.concatenate([[True], np.diff(joined[order]) != 0]))
-    sums = np.add.reduceat(counts[order], first)
+    sums = np.add.reduceat(counts[order], first, dtype=np.int64)
     totals = np.empty(len(joined), np.uint32 if sums.max() <= 0xFFFFFFFF else np.uint64)
     totals[order] = np.repeat(sums.astype(totals.dtype), np.diff(np.concatenate([first, [len(joined)]])))
     cut = np.concatenate([[0], np.cumsum(sizes)])
@@ -170,8 +171,8 @@ def _sum_keys(table: pa.Table) -> pa.Table:
 
 
 def exchange(requests: DataFrame, bits: int) -> DataFrame:
-    """Totals for each request row, written; buckets are dealt to as many tasks. `total` and `distinct` of a bucket stand in one of its rows: summed over the
-    table, the count of everything and of the keys whose total isn't 0."""
+    """Totals for each request row, written; buckets are dealt to as many tasks. `total` and `distinct` of a bucket stand in
+    one of its rows: summed over the table, the count of everything and of the keys whose total isn't 0."""
     return written_big(requests.repartition(1 << bits, "kind", "bucket").groupBy("kind", "bucket").applyInArrow(tidy(_sum_keys), RESPONSE), "totals")
 
 

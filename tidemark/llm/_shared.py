@@ -23,10 +23,13 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or, where that is unset and the executors are threads
+    of the driver, one of our own. A cluster without that setting is an error: its machines' own folders aren't shared."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         base = spark.sparkContext.getCheckpointDir()
+        if not base and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = base or "file://" + tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", found)
         if not base:
@@ -60,28 +63,31 @@ def _bytes(text: str | None) -> int | None:
     return int(found[1]) << {"": 0, "k": 10, "m": 20, "g": 30}[found[2]] if found else None
 
 
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: A written table needs its job's shuffle files no more, so Spark may remove them as the job ends; and rows may be
+#: megabytes each, so that a reader should hold few of them at a time.
+WHILE_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.parquet.columnarReaderBatchSize": "64"}
 
 
 @contextlib.contextmanager
-def _own_shuffles_removed(spark: SparkSession) -> Iterator[None]:
-    """A written table needs its job's shuffle files no more, so Spark may remove them as the job ends."""
-    before = spark.conf.get(CLEANUP, None)
+def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    before = {k: spark.conf.get(k, None) for k in values}
     try:
-        spark.conf.set(CLEANUP, "true")
+        for k, v in values.items():
+            spark.conf.set(k, v)
         yield
     finally:
-        if before is None:
-            spark.conf.unset(CLEANUP)
-        else:
-            spark.conf.set(CLEANUP, before)
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     """df as a table in the shared folder, read back: cuts lineage and outlives any executor."""
     spark = df.sparkSession
     uri = scratch(spark, name)
-    with _own_shuffles_removed(spark):
+    with _settings(spark, WHILE_WRITING):
         df.write.options(**{"compression": "zstd"} | options).parquet(uri)
     return spark.read.schema(df.schema).parquet(uri)
 
@@ -114,7 +120,7 @@ def tidy(work: Callable) -> Callable:
 
 
 #: Bytes of an Arrow batch, for sessions that leave it at Spark's default.
-ARROW_BYTES, ARROW_CONF, ARROW_DEFAULT = 8 << 20, "spark.sql.execution.arrow.maxBytesPerBatch", 64 << 20
+ARROW_BYTES, ARROW_CONF, ARROW_DEFAULT = 4 << 20, "spark.sql.execution.arrow.maxBytesPerBatch", 64 << 20
 
 
 def ship(spark: SparkSession) -> None:

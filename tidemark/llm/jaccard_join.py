@@ -2,13 +2,13 @@
 
 Rows of the matrix are the distinct shingle sets (documents with the same set are one row), columns are shingles from
 rare to frequent. Two sets with similarity t or more must share a column among the first n - ceil(t n) + 1 of each, and
-from their first common column on there must be room for the overlap that their sizes require. So only those leading
-entries are multiplied, column by column, in blocks; pairs that the bounds leave get their overlap counted in full. Links are
-found in rounds: first each column's members against one of them, a smallest and then others, as long as the column joins
+from their first common column on there must be room for the overlap that their sizes require. So the leading entries
+choose which entries of the product are wanted, and the product accumulates those over all columns, block by block of
+columns, dropping each as soon as its count and what is left of the shorter row can't reach the bound of the two sizes. Links
+are found in rounds: first each column's members against one of them, a smallest and then others, as long as the column joins
 different components; then, where one still does, each member against its nearest in every other component; and at last
 all pairs across components that are left, less those whose sketches (parities of hashed shingles) differ in more places than
-a link's sets may. Pairs inside a component never need to be formed, nor
-pairs of copies.
+a link's sets may. Pairs inside a component never need to be formed, nor pairs of copies.
 """
 
 from __future__ import annotations
@@ -29,6 +29,8 @@ WIDTH, NUMERATOR, DENOMINATOR = 5, 80, 100
 #: Members of a column that one block holds; rounds in which a column's members meet one of them; bits of a sketch; small
 #: columns that one call multiplies.
 BLOCK, ROUNDS, SKETCH, CELL = 2048, 3, 1024, 64
+#: Entries of the rows of a cell's pairs; blocks of columns; entries that are looked up at a time.
+CELL_ENTRIES, COLUMN_BLOCKS, PRODUCT_STEP = 1 << 20, 8, 1 << 18
 SETS = "chunk long, local int, row_id long, doc_id long, n long, s1 long, s2 long"
 MATRIX = "node long, n long, token long, pos int, tokens array<long>, sketch binary"
 _NULL_ID = -(1 << 63)
@@ -64,10 +66,6 @@ def _sketches(grams: np.ndarray, row: np.ndarray, nodes: np.ndarray) -> list[byt
     return out
 
 
-def _linked(overlap: Column, n: Column, other: Column, t: tuple[int, int]) -> Column:
-    return overlap * t[1] >= (n + other - overlap) * t[0]
-
-
 def _room(n: Column, pos: Column, other: Column, other_pos: Column, t: tuple[int, int]) -> Column:
     """Whether sizes and places leave room for a link: bounds on the sizes' ratio and on the overlap from here on."""
     sizes = F.least(n, other) * t[1] >= F.greatest(n, other) * t[0]
@@ -168,14 +166,81 @@ def _matrix(chunks: DataFrame, classes: DataFrame, width: int, t: tuple[int, int
     return out
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, t: tuple[int, int]) -> DataFrame:
-    """Of the distinct pairs (u, v), those whose overlap, counted in full, makes them a link. They are written first, so that
-    both joins begin with an exchange of their own, whose large parts Spark can split: a node may be in any share of them."""
+def _linked_pairs(pairs: DataFrame, sets: DataFrame, t: tuple[int, int]) -> DataFrame:
+    """Of the pairs (u, v, n_u, n_v), those that are links: the entries of the matrix product that `pairs` masks.
+
+    The product is cut into cells of about CELL_ENTRIES entries. A cell has some rows v and the rows u that they are paired
+    with, so a row's entries go once to each cell that needs them; a row v with more partners than a cell takes is dealt over
+    several. Each cell accumulates overlaps over one block of columns after the other and drops pairs on its way.
+    """
     pairs = written(pairs.distinct(), "pairs")
-    left = sets.select(F.col("node").alias("u"), F.col("n").alias("n_u"), F.col("tokens").alias("of_u"))
-    right = sets.select(F.col("node").alias("v"), F.col("n").alias("n_v"), F.col("tokens").alias("of_v"))
-    overlap = F.size(F.array_intersect("of_u", "of_v")).cast("long")
-    return pairs.join(left, "u").join(right, "v").filter(_linked(overlap, F.col("n_u"), F.col("n_v"), t)).select("u", "v")
+    weight = F.col("n_u") + F.col("n_v")
+    total = pairs.agg(F.coalesce(F.sum(weight), F.lit(0))).first()[0]
+    cells = max(1, -(-total // CELL_ENTRIES))
+    wide = pairs.groupBy("v").agg(F.ceil(F.sum(weight) / F.lit(CELL_ENTRIES)).cast("int").alias("parts")).filter("parts > 1")
+    salt = F.pmod(F.xxhash64("u"), F.coalesce("parts", F.lit(1)))
+    dealt = written(pairs.join(wide, "v", "left").select(F.pmod(F.xxhash64("v", salt), F.lit(cells)).alias("cell"), "u", "v"), "dealt-pairs")
+    needed = dealt.select("cell", F.explode(F.array("u", "v")).alias("node")).distinct()
+    rows = needed.join(sets, "node").select(F.col("cell").alias("at"), "node", "n", "tokens")
+    spread = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = min(20_000, max(spread, cells))
+    found = dealt.repartition(tasks, "cell").groupBy("cell").cogroup(rows.repartition(tasks, "at").groupBy("at")).applyInArrow(tidy(_multiply(t)), "u long, v long")
+    links = written(found, "links")
+    drop_written(pairs, dealt)
+    return links
+
+
+def _multiply(t: tuple[int, int]):
+    """Overlaps of a cell's pairs, COLUMN_BLOCKS blocks of columns in turn. After each, a pair goes whose count and what is left
+    of its shorter row can't reach the overlap that the sizes require."""
+
+    def product(pairs: pa.Table, rows: pa.Table) -> pa.Table:
+        if not pairs.num_rows:
+            return pa.table([pa.array([], pa.int64())] * 2, names=["u", "v"])
+        node = rows.column("node").to_numpy()
+        order = np.argsort(node)
+        lists = rows.column("tokens").combine_chunks()
+        lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+        size = np.diff(lists.offsets.to_numpy()).astype(np.int64)
+        # The incidence of the cell's rows and columns, row by row, as row * columns + column.
+        columns, code = np.unique(lists.flatten().to_numpy(), return_inverse=True)
+        width = len(columns) + 1
+        place = np.empty(len(node), np.int64)
+        place[order] = np.arange(len(node))
+        entries = np.sort(np.repeat(place, size) * width + code)
+        del code, lists
+        n = rows.column("n").to_numpy()[order]
+        u, v = (np.searchsorted(node[order], pairs.column(c).to_numpy()) for c in ("u", "v"))
+        required = -(-(n[u] + n[v]) * t[0] // (t[0] + t[1]))
+        base, count = np.arange(len(node)) * width, np.zeros(len(u), np.int64)
+        edges = np.linspace(0, width, COLUMN_BLOCKS + 1).astype(np.int64)
+        last = np.searchsorted(entries, base + width)
+        begin = np.searchsorted(entries, base)
+        alive = np.flatnonzero(np.minimum(last - begin, 1 << 60)[u] >= required) if len(u) else np.empty(0, np.int64)
+        alive = alive[(last - begin)[v[alive]] >= required[alive]]
+        for high in edges[1:]:
+            end = np.searchsorted(entries, base + high)
+            here = end - begin
+            swap = here[u[alive]] > here[v[alive]]
+            short, other = np.where(swap, v[alive], u[alive]), np.where(swap, u[alive], v[alive])
+            sums = np.cumsum(here[short])
+            k = 0
+            while k < len(alive):
+                done = sums[k - 1] if k else 0
+                stop = max(k + 1, int(np.searchsorted(sums, done + PRODUCT_STEP, "right")))
+                sizes = here[short[k:stop]]
+                pair = np.repeat(np.arange(k, stop), sizes)
+                at = np.arange(len(pair)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + begin[short[pair]]
+                wanted = entries[at] - short[pair] * width + other[pair] * width
+                hit = entries[np.minimum(np.searchsorted(entries, wanted), len(entries) - 1)] == wanted
+                count[alive[k:stop]] += np.bincount(pair[hit] - k, minlength=stop - k)
+                k = stop
+            left = last - end
+            alive = alive[count[alive] + np.minimum(left[u[alive]], left[v[alive]]) >= required[alive]]
+            begin = end
+        return pa.table([pairs.column(c).combine_chunks().take(pa.array(alive)) for c in ("u", "v")], names=["u", "v"])
+
+    return product
 
 
 def _roots(matrix: DataFrame, t: tuple[int, int]) -> DataFrame:
@@ -191,13 +256,12 @@ def _roots(matrix: DataFrame, t: tuple[int, int]) -> DataFrame:
         first = F.col("n") if turn == 0 else F.xxhash64(F.lit(turn), "node")
         hubs = settled.groupBy("token").agg(F.min(F.struct(first.alias("first"), "node", "n", "pos", "root")).alias("hub"), differ.alias("open")).filter("open").select("token", "hub")
         stars = settled.join(hubs, "token").filter((F.col("root") != F.col("hub.root")) & _room(F.col("n"), F.col("pos"), F.col("hub.n"), F.col("hub.pos"), t))
-        pairs = stars.select(F.greatest("node", "hub.node").alias("u"), F.least("node", "hub.node").alias("v"))
-        links = written(_verified(pairs, sets, t), "star-links")
+        links = _linked_pairs(stars.select(F.col("node").alias("u"), F.col("hub.node").alias("v"), F.col("n").alias("n_u"), F.col("hub.n").alias("n_v")), sets, t)
         if roots is None or not links.isEmpty():
             roots = components(links if roots is None else roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(links))
     for every in (False, True):
         settled = written(entries.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "entries")
-        links = written(_verified(_cross_pairs(settled, matrix, t, every), sets, t), "cross-links")
+        links = _linked_pairs(_cross_pairs(settled, matrix, t, every), sets, t)
         if not links.isEmpty():
             roots = components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(links))
         drop_written(settled)
@@ -216,7 +280,7 @@ def _cross_pairs(settled: DataFrame, matrix: DataFrame, t: tuple[int, int], ever
     cell, own = F.pmod(F.xxhash64("token"), F.lit(cells)), F.when(F.col("blocks") > 1, F.col("token")).otherwise(F.lit(0))
     tiles = tiles.select(cell.alias("cell"), own.alias("own"), F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "token", "node", "n", "pos", "root", "sketch")
     tasks = min(20_000, max(cells, int(matrix.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    return tiles.repartition(tasks, "cell", "own", "i", "j").groupBy("cell", "own", "i", "j").applyInArrow(tidy(_tile(t, every)), "u long, v long")
+    return tiles.repartition(tasks, "cell", "own", "i", "j").groupBy("cell", "own", "i", "j").applyInArrow(tidy(_tile(t, every)), "u long, v long, n_u long, n_v long")
 
 
 def _tile(t: tuple[int, int], every: bool):
@@ -227,7 +291,7 @@ def _tile(t: tuple[int, int], every: bool):
         sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint64).reshape(len(node), -1)
         order = np.argsort(token, kind="stable")
         edges = np.flatnonzero(np.concatenate([[True], np.diff(token[order]) != 0, [True]]))
-        out = [np.empty((0, 2), np.int64)]
+        out = [np.empty((0, 4), np.int64)]
         for start, end in zip(edges[:-1], edges[1:], strict=True):
             own = order[start:end]
             left, right = own[block[own] == i[0]], own[block[own] == j[0]]
@@ -248,9 +312,9 @@ def _tile(t: tuple[int, int], every: bool):
                     x, y = x[nearest], y[nearest]
                     lead = np.concatenate([[True], (x[1:] != x[:-1]) | (root[y][1:] != root[y][:-1])])
                     x, y = x[lead], y[lead]
-                u, v = node[x], node[y]
-                out.append(np.unique(np.stack([np.maximum(u, v), np.minimum(u, v)], 1), axis=0))
+                x, y = np.where(node[x] > node[y], x, y), np.where(node[x] > node[y], y, x)
+                out.append(np.unique(np.stack([node[x], node[y], n[x], n[y]], 1), axis=0))
         found = np.unique(np.concatenate(out), axis=0)
-        return pa.table([pa.array(found[:, 0], pa.int64()), pa.array(found[:, 1], pa.int64())], names=["u", "v"])
+        return pa.table([pa.array(found[:, k], pa.int64()) for k in range(4)], names=["u", "v", "n_u", "n_v"])
 
     return pairs
