@@ -1,12 +1,16 @@
 """Best-fit packing by bin completion: undominated fillings around the largest piece, branch and bound over them.
 
 Pieces of one length are alike, so the search runs on the histogram of lengths, which has at most `capacity` entries however
-many documents there are. A step takes the largest length left, completes a sequence around it, and repeats that filling as
-often as the counts allow, which uses up a length each time; so a packing has at most `capacity` kinds of sequences.
+many documents there are. The best-fit decreasing packing is the first incumbent. A node of the search takes the largest
+length left and completes a sequence around it: its children are the undominated fillings of the room, the least waste first
+and few pieces before many, each repeated as often as the counts allow, and then each once, which makes the search complete.
+Fillings are enumerated lazily, at every size alike; only the number of steps bounds the search (STEPS), and the bound on the
+waste prunes it.
 """
 
 from __future__ import annotations
 
+import bisect
 import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -22,162 +26,240 @@ from tidemark.llm._tokens import default_tokenizer_path, encoder_of, read_tokeni
 from tidemark.llm.token_output import bits_for, pack
 
 CAPACITY = 4096
-#: Nodes that the search may open, fillings that a node may try, and steps that listing fillings may take.
-NODES, WIDTH, LISTED = 4000, 6, 4000
+#: Steps that the search may take beyond its first descent: nodes opened and fillings looked at.
+STEPS = 20_000
 PIECES = "doc_id long, piece int, start long, length int, ids_crc32 long, ids binary, part int, nth long"
 Filling = tuple[tuple[int, int], ...]
 
 
-def lower_bound(counts: dict[int, int], capacity: int) -> int:
-    """Sequences that any packing needs: the total's, or with pieces over half of the capacity kept apart."""
-    total = sum(n * k for n, k in counts.items())
-    best = -(-total // capacity)
-    for small in {0, *(n for n in counts if n <= capacity // 2)}:
-        wide = sum(k for n, k in counts.items() if n > capacity - small)
-        half = [(n, k) for n, k in counts.items() if capacity // 2 < n <= capacity - small]
-        free = sum(k * (capacity - n) for n, k in half)
-        rest = sum(n * k for n, k in counts.items() if small <= n <= capacity // 2) if small else sum(n * k for n, k in counts.items() if n <= capacity // 2)
-        best = max(best, wide + sum(k for _, k in half) + max(0, -(-(rest - free) // capacity)))
-        if len(counts) > 400:
-            break
-    return best
+def _histogram(counts: dict[int, int], capacity: int) -> np.ndarray:
+    out = np.zeros(capacity + 1, np.int64)
+    for n, k in counts.items():
+        out[n] = k
+    return out
 
 
-def _fullest(sizes: list[tuple[int, int]], room: int) -> Filling:
-    """A filling of the room with the least waste, from large pieces first: reachable sums as bits of one integer."""
-    mask = (1 << (room + 1)) - 1
-    reach, stack = 1, []
-    for n, k in reversed(sizes):  # from small to large
-        stack.append((n, k, reach))
-        step, left = 1, min(k, room // n)
-        while left > 0:
-            take = min(step, left)
-            reach |= (reach << (n * take)) & mask
-            left -= take
-            step *= 2
-    goal, out = reach.bit_length() - 1, []
-    for n, k, before in reversed(stack):
-        for m in range(min(k, goal // n), -1, -1):
-            if before >> (goal - m * n) & 1:
-                if m:
-                    out.append((n, m))
-                goal -= m * n
-                break
-    return tuple(out)
+def _bound(have: np.ndarray) -> int:
+    """Sequences that any packing of the histogram needs (Martello and Toth's L2): for every least size a, pieces over
+    capacity - a are alone, those over half are apart, and the others from a on fill what these leave or need more."""
+    capacity = len(have) - 1
+    half = capacity // 2
+    number = np.concatenate([[0], np.cumsum(have)])  # of pieces below a length
+    tokens = np.concatenate([[0], np.cumsum(have * np.arange(capacity + 1))])
+    a = np.arange(half + 1)
+    apart = number[-1] - number[half + 1]  # pieces over half
+    wide = number[-1] - number[capacity - a + 1]  # over capacity - a
+    free = (apart - wide) * capacity - (tokens[capacity - a + 1] - tokens[half + 1])
+    rest = tokens[half + 1] - tokens[a]
+    return int((apart + np.maximum(0, -(-(rest - free) // capacity))).max())
 
 
-def fillings(sizes: list[tuple[int, int]], room: int, width: int = WIDTH, listed: int = LISTED) -> list[Filling]:
-    """Fillings of the room from (length, count), lengths descending, the least waste first.
+def lower_bound(counts: dict[int, int], capacity: int) -> int:
+    """Sequences that any packing needs."""
+    return _bound(_histogram(counts, capacity))
+
+
+def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[Filling, int]]:
+    """The best-fit decreasing packing, on the histogram: a length's pieces go where the least room is left that takes them."""
+    rooms: list[int] = []  # in order
+    bins: dict[int, list[list]] = {}  # by room: [pieces, times]
+
+    def add(room: int, pieces: list[tuple[int, int]], times: int) -> None:
+        if room not in bins:
+            bins[room] = []
+            bisect.insort(rooms, room)
+        bins[room].append([pieces, times])
+
+    for n, k in sorted(counts.items(), reverse=True):
+        while k:
+            at = bisect.bisect_left(rooms, n)
+            if at == len(rooms):
+                add(capacity, [], k)
+                continue
+            room = rooms[at]
+            pieces, times = bins[room][-1]
+            # A sequence that takes one has the least room for the next, so it takes what it can.
+            each = min(room // n, k)
+            used = min(times, k // each)
+            bins[room][-1][1] -= used
+            if bins[room][-1][1] == 0:
+                bins[room].pop()
+                if not bins[room]:
+                    del bins[room]
+                    rooms.pop(at)
+            add(room - each * n, [*pieces, (n, each)], used)
+            k -= each * used
+    found = [(tuple(pieces), times) for groups in bins.values() for pieces, times in groups if pieces]
+    return sorted(found, reverse=True)
+
+
+def _with_copies(reach: int, n: int, k: int, mask: int) -> int:
+    """The sums of a set of sums and up to k pieces of length n, as bits of one integer."""
+    step = 1
+    while k > 0:
+        take = min(step, k)
+        reach |= (reach << (n * take)) & mask
+        k -= take
+        step *= 2
+    return reach
+
+
+def _smeared(bits: int, gap: int) -> int:
+    """Every bit, and the `gap` places above it."""
+    done = 0
+    while done < gap:
+        step = min(done + 1, gap - done)
+        bits |= bits << step
+        done += step
+    return bits
+
+
+def _dominated(filling: Filling, gap: int, spare: int, mask: int) -> bool:
+    """Whether another filling dominates: whether some spare length can take the place of pieces that fit in it together,
+    or of none, within the room. `spare`: lengths of which a piece is left, as bits; gap: the room left."""
+    one = many = 0  # sums of one piece, and of two or more
+    for n, k in filling:
+        many = _with_copies(many, n, k, mask) | _with_copies(one, n, k - 1, mask) << n | (_with_copies(1, n, k - 2, mask) << 2 * n if k > 1 else 0)
+        one |= 1 << n
+    placed = _smeared(many, gap)
+    if gap:
+        # Of one piece's place a longer one makes better use; and in the room left there may be place for one more.
+        placed |= _smeared((one | 1) << 1, gap - 1)
+    return bool(placed & spare)
+
+
+def fillings(have: np.ndarray, room: int) -> Iterator[Filling | None]:
+    """The undominated fillings of the room from the lengths that the histogram has, the least waste first, then few pieces
+    before many. None stands for a step that gave nothing."""
+    if room < len(have) and have[room]:
+        yield ((room, 1),)  # one piece as large as the room dominates all others
+        return
+    have = have[: room + 1]
+    lengths = np.flatnonzero(have)
+    if not len(lengths):
+        yield ()
+        return
+    mask = (1 << (room + 1)) - 1
+    spare = int.from_bytes(np.packbits(have > 0, bitorder="little").tobytes(), "little")
 
-    One piece as large as the room dominates all others. Otherwise those are listed that no single exchange for a larger
-    piece or addition improves; where that takes over `listed` steps, the first exact pairs and the fullest stand for them.
-    """
-    sizes = [(n, k) for n, k in sizes if n <= room]
-    if not sizes:
-        return [()]
-    if sizes[0][0] == room:
-        return [((room, 1),)]
-    counts, pairs = dict(sizes), []
-    for n, k in sizes:
-        if 2 * n < room:
-            break
-        other = room - n
-        if counts.get(other, 0) >= (2 if other == n else 1) and (other != n or k >= 2):
-            pairs.append(((n, 2),) if other == n else ((n, 1), (other, 1)))
-            if len(pairs) == width:
-                return pairs
-    if len(pairs) >= 2 and len(sizes) > 60:
-        return pairs
-    found: list[tuple[int, int, Filling]] = []
-    steps = 0
-
-    def improvable(chosen: list[tuple[int, int]], gap: int) -> bool:
-        used = dict(chosen)
-        spare = [n for n, k in sizes if k > used.get(n, 0)]
-        return any(n <= gap for n in spare) or any(m < n <= m + gap for m, _ in chosen for n in spare)
-
-    def walk(k: int, gap: int, chosen: list[tuple[int, int]]) -> bool:
-        nonlocal steps
-        steps += 1
-        if steps > listed:
-            return False
-        while k < len(sizes) and sizes[k][0] > gap:
-            k += 1
-        if k == len(sizes):
-            if not improvable(chosen, gap):
-                found.append((gap, sum(m for _, m in chosen), tuple(chosen)))
-            return True
-        n, most = sizes[k]
-        return all(walk(k + 1, gap - m * n, [*chosen, (n, m)] if m else chosen) for m in range(min(most, gap // n), -1, -1))
-
-    if len(sizes) > 60 or not walk(0, room, []):
-        return list(dict.fromkeys([*pairs, _fullest(sizes, room), *(f for _, _, f in sorted(found)[:width])]))[:width]
-    return [f for _, _, f in sorted(found)]
-
-
-def pack_histogram(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES) -> list[tuple[Filling, int]]:
-    """(filling, how often) so that every piece is packed, in as few sequences as the search finds; each filling holds its
-    largest piece first. The first descent takes the best fit at each step and is the incumbent; it then goes back and
-    prunes where the sequences so far and a bound on the rest (their waste included) don't beat the incumbent."""
+    def allowed(f: Filling) -> bool:
+        left = spare
+        for n, m in f:
+            if have[n] == m:
+                left &= ~(1 << n)
+        return not _dominated(f, room - sum(n * m for n, m in f), left, mask)
+
+    # Without waste, two pieces: no table of sums is needed to find them.
+    high = lengths[(2 * lengths >= room) & (lengths < room)]
+    high = high[::-1][have[room - high[::-1]] > 0]
+    for n in high.tolist():
+        pair = ((n, 1), (room - n, 1)) if 2 * n > room else ((n, 2),)
+        if 2 * n == room and have[n] < 2:
+            continue
+        yield pair if allowed(pair) else None
+    # suffix[k]: sums that the lengths from the kth on (descending) reach.
+    sizes = [(n, min(k, room // n)) for n, k in zip(lengths[::-1].tolist(), have[lengths[::-1]].tolist(), strict=True)]
+    suffix = [1] * (len(sizes) + 1)
+    for k in range(len(sizes) - 1, -1, -1):
+        suffix[k] = _with_copies(suffix[k + 1], *sizes[k], mask)
+    ascending = lengths.tolist()
+    sums = suffix[0]
+
+    def exact(goal: int) -> Iterator[Filling | None]:
+        """Fillings with this sum, large pieces first; every path that is begun ends in one."""
+        stack: list[tuple[int, int, Filling]] = [(0, goal, ())]
+        while stack:
+            k, rest, chosen = stack.pop()
+            if not rest:
+                yield chosen
+                continue
+            k = max(k, len(sizes) - bisect.bisect_right(ascending, rest))
+            while True:
+                n, m = sizes[k]
+                copies = [j for j in range(min(m, rest // n) + 1) if suffix[k + 1] >> (rest - j * n) & 1]
+                if copies != [0]:
+                    break
+                k += 1
+            stack += [(k + 1, rest - j * n, (*chosen, (n, j)) if j else chosen) for j in copies]
+            yield None
+
+    for goal in range(sums.bit_length() - 1, -1, -1):
+        if sums >> goal & 1:
+            for f in exact(goal):
+                if f is None or (goal == room and sum(m for _, m in f) == 2):
+                    yield None
+                else:
+                    yield f if allowed(f) else None
+
+
+def pack_histogram(counts: dict[int, int], capacity: int = CAPACITY, steps: int = STEPS) -> list[tuple[Filling, int]]:
+    """(filling, how often) so that every piece is packed, in as few sequences as the search finds, and never in more than
+    best fit needs; each filling holds its largest piece first. A branch is pruned where the sequences so far and the bound
+    on the rest don't beat the incumbent. Within `steps` the search is complete and the result optimal."""
     if any(n > capacity or n < 1 for n in counts):
         raise ValueError("a piece must have from 1 to capacity tokens")
     counts = {n: k for n, k in counts.items() if k > 0}
-    least = lower_bound(counts, capacity)
-    best: list[tuple[Filling, int]] = []
-    best_n = 1 << 62
-    opened = 0
-    total = sum(n * k for n, k in counts.items())
-    small = sum(counts.values()) <= 64
-
-    def options(left: dict[int, int]) -> list[tuple[Filling, int]]:
-        first = max(left)
-        sizes = sorted(((n, k - (n == first)) for n, k in left.items() if k > (n == first)), reverse=True)
-        out = []
-        for f in fillings(sizes, capacity - first):
+    best = best_fit(counts, capacity)
+    best_n = sum(times for _, times in best)
+    left = _histogram(counts, capacity)
+    least = _bound(left)
+    taken, descended = 0, False
+
+    def children() -> Iterator[tuple[Filling, int] | None]:
+        first = int(np.flatnonzero(left)[-1])
+        left[first] -= 1
+        options = left.copy()
+        left[first] += 1
+        seen: list[Filling] = []
+        for f in fillings(options, capacity - first):
+            if f is None:
+                yield None
+                continue
             whole = dict(f)
             whole[first] = whole.get(first, 0) + 1
-            whole_f = tuple(sorted(whole.items(), reverse=True))
-            out.append((whole_f, 1 if small else min(left[n] // m for n, m in whole_f)))
-        return out
-
-    def apply(left: dict[int, int], f: Filling, times: int, sign: int) -> None:
-        for n, m in f:
-            left[n] = left.get(n, 0) - sign * m * times
-            if not left[n]:
-                del left[n]
-
-    left, path, used, rest = dict(counts), [], 0, total
-    stack: list[tuple[Iterator, tuple[Filling, int] | None]] = []
-    while True:
-        if not left:
-            if used < best_n:
-                best, best_n = list(path), used
-            if best_n <= least:
-                return best
-            descend = False
+            seen.append(tuple(sorted(whole.items(), reverse=True)))
+            yield seen[-1], min(int(left[n]) // m for n, m in seen[-1])
+        for f in seen:
+            if min(int(left[n]) // m for n, m in f) > 1:
+                yield f, 1
+
+    path: list[tuple[Filling, int]] = []
+    stack: list[Iterator] = []
+    used = 0
+    while best_n > least:
+        if not left.any():
+            best, best_n = (list(path), used) if used < best_n else (best, best_n)
+            descended = True
+        elif used + _bound(left) < best_n and (taken < steps or not descended):
+            stack.append(children())
+            taken += descended
         else:
-            bound = lower_bound(left, capacity) if len(left) <= 40 else -(-rest // capacity)
-            descend = used + bound < best_n and (opened < nodes or not best)
-        if descend:
-            opened += 1
-            stack.append((iter(options(left)), None))
+            descended = True
+        # On to the next child of the deepest node that has one.
+        child = None
         while stack:
-            choices, taken = stack.pop()
-            if taken is not None:
-                apply(left, *taken, -1)
-                path.pop()
-                used -= taken[1]
-                rest += taken[1] * sum(n * m for n, m in taken[0])
-            following = next(choices, None) if opened < nodes or not best else None
-            if following is not None:
-                apply(left, *following, 1)
-                path.append(following)
-                used += following[1]
-                rest -= following[1] * sum(n * m for n, m in following[0])
-                stack.append((choices, following))
+            if len(path) == len(stack):
+                f, times = path.pop()
+                used -= times
+                for n, m in f:
+                    left[n] += m * times
+            while (child := next(stack[-1], "none")) is None:
+                taken += descended
+                if taken >= steps and descended:
+                    child = "none"
+                    break
+            if child != "none" and not (descended and taken >= steps):
                 break
-        else:
+            child = None
+            stack.pop()
+        if child is None:
             return best
+        f, times = child
+        for n, m in f:
+            left[n] -= m * times
+        used += times
+        path.append(child)
+    return best
 
 
 @dataclass
@@ -235,7 +317,7 @@ def cut_pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer_path: str |
     return written(narrow.mapInArrow(cut, PIECES), "pieces")
 
 
-def pack_documents(docs: DataFrame, capacity: int = CAPACITY, tokenizer_path: str | None = None, end_id: int = 1, nodes: int = NODES, **columns: str) -> DataFrame:
+def pack_documents(docs: DataFrame, capacity: int = CAPACITY, tokenizer_path: str | None = None, end_id: int = 1, steps: int = STEPS, **columns: str) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset): every document's pieces in sequences of at most
     `capacity` tokens. Only documents of more tokens are cut.
 
@@ -247,7 +329,7 @@ def pack_documents(docs: DataFrame, capacity: int = CAPACITY, tokenizer_path: st
     spark = docs.sparkSession
     held = written(pieces.groupBy("part", "length").agg(F.count(F.lit(1)).alias("k")), "lengths")
     counts = {r["length"]: r["k"] for r in held.groupBy("length").agg(F.sum("k").alias("k")).collect()}
-    layout = spark.sparkContext.broadcast(Layout.of(pack_histogram(counts, capacity, nodes)))
+    layout = spark.sparkContext.broadcast(Layout.of(pack_histogram(counts, capacity, steps)))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = held.select("part", "length", F.coalesce(F.sum("k").over(before), F.lit(0)).alias("base"))
 
