@@ -5,6 +5,8 @@ A word is a longest run without the bytes 0x20 and 0x09-0x0D, with A-Z lower-cas
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -120,13 +122,38 @@ _NO_WORD[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x8
 
 
 def plain_word_spans(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Begin and end of the runs of ASCII letters, digits and non-ASCII bytes."""
-    return word_spans(np.where(_NO_WORD[data], np.uint8(0x20), data), starts)
+    """Begin and end of the runs of ASCII letters, digits and non-ASCII bytes; a character of a script that is written without
+    blanks (U+0E00-0EFF: Thai, Lao; U+3000-9FFF: kana and Han) is a word of its own."""
+    begin, end = word_spans(np.where(_NO_WORD[data], np.uint8(0x20), data), starts)
+    alone = (data >= 0xE3) & (data <= 0xE9)
+    if len(data) > 1:
+        alone[:-1] |= (data[:-1] == 0xE0) & (data[1:] >= 0xB8) & (data[1:] <= 0xBB)
+    at = np.flatnonzero(alone)
+    if not len(at):
+        return begin, end
+    # Such a character ends the run before it and begins one after it, within the run that it is in.
+    run = np.searchsorted(begin, at, "right") - 1
+    cuts = np.unique(np.concatenate([at[at > begin[run]], (at + 3)[at + 3 < end[run]]]))
+    return np.sort(np.concatenate([begin, cuts])), np.sort(np.concatenate([end, cuts]))
 
 
 def plain_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(hash, row) of these words in a string array without nulls, lower-cased letter by letter in any script, so that word k
     of a row is word k of plain_word_spans."""
     data, starts = text_bytes(pc.utf8_lower(texts))
-    words, row, _, _ = word_hashes(np.where(_NO_WORD[data], np.uint8(0x20), data), starts)
-    return words, row
+    begin, end = plain_word_spans(data, starts)
+    return hash_spans(data, begin, end, lower=False), np.searchsorted(starts, begin, "right") - 1
+
+
+def plain_words_and_stems(texts: pa.Array, lengths: Iterable[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, row) of these words, and (hash, row) of the stems of words: their first bytes, of each length that is less than
+    the word's."""
+    data, starts = text_bytes(pc.utf8_lower(texts))
+    begin, end = plain_word_spans(data, starts)
+    row = np.searchsorted(starts, begin, "right") - 1
+    stems, rows = [np.empty(0, np.uint64)], [np.empty(0, row.dtype)]
+    for n in lengths:
+        longer = np.flatnonzero(end - begin > n)
+        stems.append(hash_spans(data, begin[longer], begin[longer] + n, lower=False) ^ np.uint64(0x6A09E667F3BCC908))
+        rows.append(row[longer])
+    return hash_spans(data, begin, end, lower=False), row, np.concatenate(stems), np.concatenate(rows)

@@ -75,7 +75,7 @@ def op1_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = toxicity.train(docs, _table(spark, sf_dir, "labels"), id_crc32("doc_id") % 4 != 2)
     scored = toxicity.score(docs, model)
-    return scored.select("doc_id", (id_crc32("doc_id") % 4 == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+    return scored.select("doc_id", F.coalesce(id_crc32("doc_id") % 4 == 2, F.lit(True)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
 def op2_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,7 +117,7 @@ def op7_spectrum_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = _table(spark, sf_dir, "documents")
     model = language_id.train(docs, id_crc32("doc_id") % 5 != 0)
-    return language_id.identify(docs, model).select("doc_id", (id_crc32("doc_id") % 5 == 0).alias("held_out"), "lang_pred", "score")
+    return language_id.identify(docs, model).select("doc_id", F.coalesce(id_crc32("doc_id") % 5 == 0, F.lit(True)).alias("held_out"), "lang_pred", "score")
 
 
 def op8_vector_approximation(spark: SparkSession, sf_dir: str) -> DataFrame:
