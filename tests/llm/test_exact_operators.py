@@ -88,6 +88,54 @@ def test_scores_are_those_of_the_automaton(spark, order):
         assert r["score"] == pytest.approx(score)
 
 
+def walked(train, texts, order, kappas):
+    """log10 scores by an automaton of dicts: states are contexts, each with arcs, a failure arc and its weight."""
+    counts, types = collections.Counter(), set()
+    for tokens in train:
+        padded = ["<s>", *tokens]
+        types.update(tokens)
+        for n in range(1, order + 1):
+            counts.update(tuple(padded[k : k + n]) for k in range(len(padded) - n + 1))
+    total = sum(map(len, train))
+    followers = collections.defaultdict(set)
+    for gram in counts:
+        if len(gram) > 1:
+            followers[gram[:-1]].add(gram[-1])
+
+    def p(context, token):
+        if not context:
+            return (counts[(token,)] + 1) / (total + len(types) + 1)
+        kappa = kappas[min(len(context) - 1, len(kappas) - 1)]
+        return (counts[(*context, token)] + kappa * p(context[1:], token)) / (counts[context] + kappa)
+
+    scores = []
+    for tokens in texts:
+        state, score = (("<s>",) if order > 1 and counts[("<s>",)] else ()), 0.0
+        for token in tokens:
+            while state and token not in followers[state]:
+                kappa = kappas[min(len(state) - 1, len(kappas) - 1)]
+                score += math.log10(kappa / (counts[state] + kappa))
+                state = state[1:]
+            score += math.log10(p(state, token))
+            state = (*state, token)[-(order - 1) :] if order > 1 else ()
+            while state and not counts[state]:
+                state = state[1:]
+        scores.append(score)
+    return scores
+
+
+@pytest.mark.parametrize(("order", "lane"), [(2, 512), (3, 4), (4, 4)])
+def test_scores_are_those_of_a_walk(spark, order, lane, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "LANE", lane)
+    data = [(k, " ".join(random.Random(k).choice("abcde") for _ in range(k % 40)), "en", "s", 0) for k in range(60)]
+    data += [(100 + k, data[30][1], "en", "s", 0) for k in range(3)]
+    out = {r["doc_id"]: r["score"] for r in lm_scoring.score_texts(frame(spark, data), id_crc32("doc_id") % 7 != 2, order=order, kappa=(3.0, 0.5)).collect()}
+    texts = [[*words(t), "</s>"] for _, t, *_ in data]
+    train = [t for t, (i, *_) in zip(texts, data, strict=True) if zlib.crc32(str(i).encode()) % 7 != 2]
+    for (i, *_), score in zip(data, walked(train, texts, order, (3.0, 0.5)), strict=True):
+        assert out[i] == pytest.approx(score)
+
+
 def test_totals_of_any_size():
     keys, each = np.array([3, 7, 9], np.uint64), np.array([3_000_000_000, 5, 0], np.uint32)
     rows = [(0, keys, each), (1, keys, each), (2, keys[1:], each[1:])]
@@ -146,6 +194,52 @@ def test_small_packings_are_optimal():
         assert packing.lower_bound(dict(counts), capacity) <= sum(t for _, t in packed) == fewest(items, capacity)
 
 
+def test_fillings_are_the_undominated_ones():
+    rng = random.Random(5)
+    for _ in range(150):
+        room, have = rng.randint(3, 14), np.zeros(40, np.int64)
+        for _ in range(rng.randint(1, 6)):
+            have[rng.randint(1, 16)] += 1
+        lengths = [n for n in range(1, room + 1) if have[n]]
+        every = [f for f in itertools.product(*[range(min(int(have[n]), room // n) + 1) for n in lengths]) if sum(n * k for n, k in zip(lengths, f, strict=True)) <= room]
+
+        def fits(inner, outer):
+            """Whether the pieces of one filling can be put together into those of the other."""
+            pieces = sorted((n for n, k in zip(lengths, inner, strict=True) for _ in range(k)), reverse=True)
+
+            def go(k, left):
+                return k == len(pieces) or any(x >= pieces[k] and go(k + 1, [*left[:j], x - pieces[k], *left[j + 1 :]]) for j, x in enumerate(left))
+
+            return go(0, [n for n, k in zip(lengths, outer, strict=True) for _ in range(k)])
+
+        expected = {tuple((n, k) for n, k in zip(lengths, f, strict=True) if k) for f in every if not any(g != f and fits(f, g) for g in every)}
+        found = [tuple(sorted(f)) for f in packing.fillings(have, room) if f is not None]
+        assert len(found) == len(set(found)) and set(found) == expected
+        waste = [room - sum(n * k for n, k in f) for f in found]
+        assert waste == sorted(waste)
+
+
+@pytest.mark.parametrize(("n", "low", "high"), [(5000, 300, 3000), (5000, 2, 900), (3000, 1100, 2100), (4000, 1400, 2700)])
+def test_packing_is_never_worse_than_best_fit(n, low, high):
+    rng = random.Random(n + low)
+    items = [rng.randint(low, high) for _ in range(n)]
+    rooms = []
+    for x in sorted(items, reverse=True):  # best fit, piece by piece
+        at = min((r, k) for k, r in enumerate([*rooms, 4096]) if r >= x)[1]
+        if at == len(rooms):
+            rooms.append(4096)
+        rooms[at] -= x
+    counts = dict(collections.Counter(items))
+    packed = packing.pack_histogram(counts, steps=500)
+    assert sum(t for _, t in packing.best_fit(counts, 4096)) == len(rooms)
+    assert packing.lower_bound(counts, 4096) <= sum(t for _, t in packed) <= len(rooms)
+    used = collections.Counter()
+    for filling, times in packed:
+        assert sum(n * m for n, m in filling) <= 4096
+        used.update({n: m * times for n, m in filling})
+    assert used == counts
+
+
 def test_large_histogram_reaches_the_bound():
     rng = random.Random(4)
     counts = collections.Counter(min(4096, int(rng.lognormvariate(6.4, 1.1)) + 1) for _ in range(50_000))
@@ -308,6 +402,21 @@ def test_top_k_is_exact(spark):
     assert topk_search.top_k(df.limit(0), F.col("vec_id") % 50 == 0).collect() == []
 
 
+def test_few_exact_vectors_are_read(spark):
+    rng = np.random.default_rng(4)
+    vectors = rng.normal(size=(3000, 16))
+    vectors[1000:2000] = vectors[999]  # a third of the rows is one vector
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    ints = spark.createDataFrame([(np.floor(1024 * v).astype(int).tolist(), i, i) for i, v in enumerate(vectors)], "v array<long>, id long, row long")
+    read = topk_search.candidates(ints.filter("id < 1000 or id >= 2000"), ints.filter("id % 100 = 0"), 10).count()
+    assert read < 0.1 * 2000 * 30
+    out = topk_search.top_k(df, F.col("vec_id") % 100 == 0).collect()
+    whole = np.floor(1024 * vectors).astype(np.int64)
+    for q in range(0, 3000, 100):
+        best = sorted((-int(whole[i] @ whole[q]), i) for i in range(3000) if i != q)[:10]
+        assert sorted((r["rank"], r["vec_id"], r["score"]) for r in out if r["query_id"] == q) == [(k + 1, i, -s) for k, (s, i) in enumerate(best)]
+
+
 # Token files
 
 
