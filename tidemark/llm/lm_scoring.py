@@ -14,8 +14,9 @@ their weights, until a state has one.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -198,12 +199,17 @@ def score_texts(docs: DataFrame, learn: Column, order: int = ORDER, kappa: float
     chunks = build_chunks(docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(null_id)).alias("doc_id"), F.col(text_col).alias("text"), learn.alias("mark")), F.col("mark"))
     bits = bucket_bits(chunks)
 
-    def ask(chunk: Chunk) -> Iterator[pa.RecordBatch]:
-        grams = _Grams(chunk, order)
-        for n in range(1, order + 1):
-            yield from requests_of(n, chunk.id, grams.keys[n - 1], grams.counts[n - 1], bits, _width(n))
+    def ask(low: int, high: int) -> Callable[[Chunk], Iterator[pa.RecordBatch]]:
+        def requests(chunk: Chunk) -> Iterator[pa.RecordBatch]:
+            grams = _Grams(chunk, high)
+            for n in range(low, high + 1):
+                yield from requests_of(n, chunk.id, grams.keys[n - 1], grams.counts[n - 1], bits, _width(n))
+
+        return requests
 
-    totals = exchange(each_chunk(chunks, ask, REQUEST), bits)
+    # One exchange after the other, so that no more than one's files are on disk at a time.
+    steps = [(1, min(2, order)), *((n, n) for n in range(3, order + 1))]
+    totals = reduce(DataFrame.unionByName, [exchange(each_chunk(chunks, ask(*step), REQUEST), bits) for step in steps])
     corpus = totals.filter("kind = 1").agg(F.coalesce(F.sum("total"), F.lit(0)).alias("n"), F.coalesce(F.sum("distinct"), F.lit(0)).alias("v")).first()
     texts = chunks.agg(F.coalesce(F.sum("n_docs"), F.lit(0))).first()[0]
     learned = _learned_texts(chunks)
