@@ -97,7 +97,7 @@ def fit(packed: np.ndarray, langs: list[str], landmarks: int = LANDMARKS, ridge:
     nth = np.zeros(len(y), np.int64)
     for c in range(len(labels)):
         nth[y == c] = np.arange((y == c).sum())
-    picks = np.sort(np.lexsort((y, nth))[:landmarks])
+    picks = np.sort(np.lexsort((y, nth))[: max(landmarks, len(labels))])
     active = np.flatnonzero(np.unpackbits(np.bitwise_or.reduce(packed[picks], axis=0)))
     norm = np.sqrt(np.maximum(np.bitwise_count(packed).sum(1, dtype=np.int64), 1))
     marks = (np.unpackbits(packed[picks], axis=1)[:, active].astype(np.float32) / norm[picks, None].astype(np.float32)).T
@@ -118,19 +118,20 @@ def fit(packed: np.ndarray, langs: list[str], landmarks: int = LANDMARKS, ridge:
 
 
 def train(docs: DataFrame, learn: Column, sample_rows: int = SAMPLE_ROWS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
-    """Fits on at most about sample_rows rows of those that `learn` allows, the same number for each language.
+    """Fits on at most about sample_rows rows of those that `learn` allows, the same number for each language; of more than
+    sample_rows languages, on the sample_rows that most rows have. Every language has a landmark.
 
     What reaches the driver is the n-gram presence of the sampled whole texts, DIM bits a row, whatever their length.
     Null languages and null or letterless texts teach nothing.
     """
     ship(docs.sparkSession)
     rows = docs.filter(learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    counts = {r[lang_col]: r["count"] for r in rows.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(sample_rows).collect()}
+    counts = {r["lang"]: r["count"] for r in rows.groupBy(F.col(lang_col).cast("string").alias("lang")).count().orderBy(F.desc("count"), "lang").limit(sample_rows).collect()}
     each = max(1, sample_rows // max(1, len(counts)))
     chance = F.pmod(F.xxhash64(F.lit(11), F.col(id_col), F.octet_length(text_col)), F.lit(1 << 30))
-    wanted = F.lit(False)
-    for lang, n in counts.items():
-        wanted = wanted | ((F.col(lang_col) == F.lit(lang)) & (chance < F.lit(int(min(1.0, each / n) * (1 << 30)))))
+    shares = docs.sparkSession.createDataFrame([(lang, int(min(1.0, each / n) * (1 << 30))) for lang, n in counts.items()], "_lang string, _share long")
+    drawn = rows.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"), chance.alias("_chance"))
+    drawn = drawn.join(F.broadcast(shares), F.col("lang") == F.col("_lang")).filter("_chance < _share").select("text", "lang")
 
     def features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_chunks(batches):
@@ -140,7 +141,7 @@ def train(docs: DataFrame, learn: Column, sample_rows: int = SAMPLE_ROWS, id_col
                 packed = [g.tobytes() for g in np.packbits(grams[lettered], axis=1)]
                 yield pa.RecordBatch.from_arrays([pa.array([x for x, ok in zip(langs[k : k + ROWS], lettered, strict=True) if ok], pa.string()), pa.array(packed, pa.binary())], names=["lang", "grams"])
 
-    found = rows.filter(wanted).select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).mapInArrow(features, "lang string, grams binary").limit(2 * sample_rows + 1000).collect()
+    found = drawn.mapInArrow(features, "lang string, grams binary").limit(2 * sample_rows + 1000).collect()
     found = sorted((r["lang"], bytes(r["grams"])) for r in found)
     order = np.random.default_rng(5).permutation(len(found))
     packed = np.frombuffer(b"".join(found[k][1] for k in order), np.uint8).reshape(len(found), DIM // 8)
@@ -169,7 +170,8 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
 
 def keep_identified(docs: DataFrame, model: Model, least_score: float, text_col: str = "text") -> DataFrame:
-    """The rows of docs, with all their columns, whose text is not `und` and has a score of least_score or more."""
+    """The rows of docs, with all their columns, whose text is not `und` and has a score of least_score or more. Null and empty
+    texts go; repeated rows stay or go alike; an empty table stays empty."""
     spark = docs.sparkSession
     ship(spark)
     sent = spark.sparkContext.broadcast(model)
