@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm._shared import ship, text_bytes, text_chunks
-from tidemark.llm._words import plain_word_spans, plain_words, row_grams
+from tidemark.llm._words import mix, plain_word_spans, plain_words, row_grams
 
 #: Words of a seed; a seed is rare if at most this share of the documents (or MIN_RARE of them) holds it, else common; bytes of
 #: items that are sent to the executors at a time; places of seeds that a task lists at a time.
@@ -42,12 +42,13 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
 class Items:
     """One block of test items and the seeds that look for them."""
 
-    ids: np.ndarray
+    ids: list[int | None]
     words: list[np.ndarray]
     grams: np.ndarray  # distinct, sorted
     first: np.ndarray  # of each gram, where its places begin
     places: np.ndarray  # (item number, word) of the grams, by gram
     common: np.ndarray  # of each gram, whether many documents hold it
+    short: list[int]  # lengths of the items that are shorter than a seed
 
     @functools.cached_property
     def lengths(self) -> np.ndarray:
@@ -76,19 +77,40 @@ class Items:
         sizes = np.diff(np.concatenate([self.first, [len(self.places)]]))
         picked = np.repeat(keep, sizes)
         kept = sizes[keep]
-        return Items(self.ids, self.words, self.grams[keep], np.concatenate([[0], np.cumsum(kept)[:-1]]).astype(np.int64) if len(kept) else np.empty(0, np.int64), self.places[picked], self.common[keep])
+        return Items(self.ids, self.words, self.grams[keep], np.concatenate([[0], np.cumsum(kept)[:-1]]).astype(np.int64) if len(kept) else np.empty(0, np.int64), self.places[picked], self.common[keep], self.short)
 
 
 def read_items(rows: list[tuple[int, str]], seed: int = SEED) -> Items:
-    """Items in order of their ids. Those of fewer words than a seed are never found."""
-    rows = sorted(rows)
+    """Items in order of their ids, null ones first. One of fewer words than a seed is a seed as a whole."""
+    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
     words, row = plain_words(pa.array([t or "" for _, t in rows], pa.string()))
     cut = np.searchsorted(row, np.arange(len(rows) + 1))
-    grams, at, first = row_grams(words, row, seed)
+    parts = [row_grams(words, row, seed)]
+    sizes = np.diff(cut)
+    short = sorted({int(n) for n in sizes if 0 < n < seed})
+    for n in short:
+        own = np.repeat(sizes == n, sizes)
+        parts.append(_grams(words[own], row[own], n))
+    grams, at, first = (np.concatenate([p[k] for p in parts]) for k in range(3))
+    for k, n in enumerate(short):  # places among all words
+        done = sum(len(p[0]) for p in parts[: k + 1])
+        first[done : done + len(parts[k + 1][0])] = cut[parts[k + 1][1]]
     order = np.lexsort((first, grams))
     grams, places = grams[order], np.stack([at[order], first[order] - cut[at[order]]], 1) if len(order) else np.empty((0, 2), np.int64)
     distinct, begin = np.unique(grams, return_index=True)
-    return Items(np.array([r[0] for r in rows], np.int64), [words[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)], distinct, begin, places, np.zeros(len(distinct), bool))
+    return Items([r[0] for r in rows], [words[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)], distinct, begin, places, np.zeros(len(distinct), bool), short)
+
+
+def _grams(words: np.ndarray, row: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """row_grams of a length of its own: hashes of different lengths differ."""
+    grams, rows, first = row_grams(words, row, n)
+    return mix(grams ^ np.uint64(n)), rows, first
+
+
+def _document_grams(items: Items, words: np.ndarray, row: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A text's n-grams of all lengths that seeds have."""
+    parts = [row_grams(words, row, seed), *(_grams(words, row, n) for n in items.short)]
+    return tuple(np.concatenate([p[k] for p in parts]) for k in range(3))
 
 
 def _seeds(items: Items, frequency: np.ndarray, documents: int) -> Items:
@@ -150,13 +172,14 @@ def _windows(hits: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
 def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", seed: int = SEED, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(doc_id, item_id, score, words, begin_byte, end_byte): each document and test item of which it holds a copy.
 
-    Words are runs of ASCII letters, digits and non-ASCII characters, lower-cased. Seeds are the items' `seed`-word n-grams
+    Words are runs of ASCII letters, digits and non-ASCII characters, lower-cased; characters of scripts without blanks are
+    words of their own. Seeds are the items' `seed`-word n-grams
     that few of all documents hold; the others lead to an item only in documents with enough of its words for `threshold`, which
     loses nothing. So every item is aligned that shares a seed with the text and can reach the threshold;
     score is the best alignment's share of the item's own, reported from `threshold`; the bytes bound the copy.
 
     Items go to the executors in blocks of about block_bytes, one after the other if there are more. Null and empty
-    documents or items match nothing, nor do items of fewer than `seed` words; null ids are passed through. Repeated
+    documents or items match nothing; an item of fewer than `seed` words is its own seed; null ids are passed through. Repeated
     rows: each is reported. Empty tables: empty result. Other columns are left out.
     """
     ship(docs.sparkSession)
@@ -178,7 +201,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHO
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", seed: int = SEED, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The rows of docs, with all their columns, of which find_leaks reports nothing."""
+    """The rows of docs, with all their columns, of which find_leaks reports nothing. Null and empty texts hold no item and
+    stay; repeated rows stay or go alike; an empty table stays empty, and without items all rows stay."""
     ship(docs.sparkSession)
     texts = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     out = docs
@@ -202,7 +226,7 @@ def _item_blocks(benchmark: DataFrame, item_col: str, item_text_col: str, seed:
     blocks = max(1, math.ceil(size / block_bytes))
     for b in range(blocks):
         rows = asked.filter(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == b).collect()
-        yield read_items([(r["id"] if r["id"] is not None else -1, r["text"]) for r in rows], seed)
+        yield read_items([(r["id"], r["text"]) for r in rows], seed)
 
 
 def _with_seeds(texts: DataFrame, items: Items, seed: int):
@@ -214,7 +238,7 @@ def _with_seeds(texts: DataFrame, items: Items, seed: int):
         items, total, documents = everything.value, None, 0
         for batch in text_chunks(batches):
             words, row = plain_words(batch.column(0))
-            grams, rows, _ = row_grams(words, row, seed)
+            grams, rows, _ = _document_grams(items, words, row, seed)
             at, number = items.find(grams)
             seen = np.unique(rows[at] * max(1, len(items.grams)) + number) % max(1, len(items.grams))
             counts = np.bincount(seen, minlength=len(items.grams))
@@ -236,7 +260,7 @@ def _leaks(texts: pa.Array, items: Items, threshold: float, seed: int) -> list[t
     """(row, item_id, score, words, begin, end) of the best copy of each item in each text."""
     words, row = plain_words(texts)
     cut = np.searchsorted(row, np.arange(len(texts) + 1))
-    grams, rows, first = row_grams(words, row, seed)
+    grams, rows, first = _document_grams(items, words, row, seed)
     at, number = items.find(grams)
     best: dict[tuple[int, int], tuple[int, int, int]] = {}
     for r, i, low, high in _windows(_hits(items, threshold, words, cut, rows[at], first[at] - cut[rows[at]], number)):
@@ -253,4 +277,4 @@ def _leaks(texts: pa.Array, items: Items, threshold: float, seed: int) -> list[t
         return []
     data, starts = text_bytes(texts)
     begin, end = plain_word_spans(data, starts)
-    return [(r, int(items.ids[i]), s / (MATCH * len(items.words[i])), b - a, int(begin[a] - starts[r]), int(end[b - 1] - starts[r])) for (r, i), (s, a, b) in sorted(best.items())]
+    return [(r, items.ids[i], s / (MATCH * len(items.words[i])), b - a, int(begin[a] - starts[r]), int(end[b - 1] - starts[r])) for (r, i), (s, a, b) in sorted(best.items())]
