@@ -9,7 +9,6 @@ File format (integers little-endian):
 from __future__ import annotations
 
 import uuid
-import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -148,7 +147,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str | None = N
 
     A range partition of the documents by id becomes one file (more beyond file_ids). The manifest lists the files of
     successful task attempts; a lost executor's half-written files are in no manifest. Null text: the end id alone.
-    Null id: sorts first. Repeated ids: next to each other, in order of their texts. Empty input: no file. Other columns
+    Null id: sorts first. Repeated ids: next to each other, in order of their texts' hashes. Empty input: no file. Other columns
     are left out. `path` must be a folder that executors can write (file, hdfs, s3, gs).
     """
     spark = docs.sparkSession
@@ -177,7 +176,9 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str | None = N
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=[x.split()[0] for x in MANIFEST.split(", ")])
 
     narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    ranged = narrow.repartitionByRange(F.col("id")).sortWithinPartitions("id", "text")
+    # Rows of one id, or of none, may be any share of all, so their texts' hashes are part of the order.
+    order = [F.col("id"), F.xxhash64("text")]
+    ranged = narrow.repartitionByRange(*order).sortWithinPartitions(*order, "text")
     return written(ranged.mapInArrow(write, MANIFEST), "token-manifest")
 
 
@@ -218,7 +219,3 @@ def encode_round_trip(docs: DataFrame, tokenizer_path: str | None = None, end_id
     """Writes the files into the shared folder and reads them back."""
     spark = docs.sparkSession
     return read_token_files(spark, write_token_files(docs, scratch(spark, "token-files"), tokenizer_path, end_id, **columns))
-
-
-def crc32_of(ids: bytes) -> int:
-    return zlib.crc32(ids)
