@@ -24,11 +24,16 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that links of similar shingle sets join, the one with the smallest doc_id stays. Rows that repeat a doc_id
-    are one document and stay or go together; rows without a doc_id stay."""
-    linked = jaccard_join.link_components(docs)
-    firsts = linked.filter("component_id = doc_id").select("doc_id")
-    return docs.join(firsts, "doc_id", "left_semi").select(docs.columns).unionByName(docs.filter("doc_id is null"))
+    """Of documents that links of similar shingle sets join, the one with the smallest doc_id stays. Where rows repeat a doc_id
+    or lack one, rows count instead of ids: they are numbered, and of a group the row with the smallest number stays."""
+    repeated = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 or doc_id is null")
+    key, rows = "doc_id", docs
+    if not repeated.isEmpty():
+        key = "_" * (1 + max(map(len, docs.columns))) + "row"
+        rows = written(docs.withColumn(key, F.monotonically_increasing_id()), "numbered")
+    linked = jaccard_join.link_components(rows, id_col=key)
+    firsts = linked.filter("component_id = doc_id").select(F.col("doc_id").alias(key))
+    return rows.join(firsts, key, "left_semi").select(docs.columns)
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,12 +46,14 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_test_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a copy of a benchmark item, exact or edited."""
+    """Drops documents that hold a copy of a benchmark item, exact or edited. Null and empty texts hold none; repeated rows stay
+    or go alike; an empty table stays empty."""
     return decontamination.drop_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) of every piece of the documents."""
+    """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) of every piece of the documents. Null and empty texts are
+    their end token; null ids are passed through; repeated rows are packed each; an empty table gives an empty result."""
     return packing.pack_documents(docs)
 
 
