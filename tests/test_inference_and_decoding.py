@@ -8,7 +8,7 @@ import zstandard
 from pyspark.sql import types as T
 
 from tidemark.sources import inference as inf
-from tidemark.sources.ndjson import CORRUPT, declared_schema, failed_files, good_records, read_ndjson
+from tidemark.sources.ndjson import CORRUPT, declared_schema, failed_files, read_ndjson
 
 
 def infer(*lines, coerce=False):
@@ -27,7 +27,8 @@ def infer(*lines, coerce=False):
         (['{"v": null}', '{"v": 3}', '{"v": null}'], {"v": "bigint"}),
         (['{"v": null}'], {"v": "string"}),
         (['{"v": []}'], {"v": "array<string>"}),
-        (['{"v": 18446744073709551615}'], {"v": "bigint"}),
+        (['{"v": 18446744073709551615}'], {"v": "double"}),
+        (['{"v": 1}', '{"v": 9223372036854775808}'], {"v": "double"}),
     ],
 )
 def test_types(lines, expected):
@@ -37,12 +38,12 @@ def test_types(lines, expected):
 @pytest.mark.parametrize(
     ("lines", "path"),
     [
-        (['{"nested": {"value": 1, "ok": 2}}', '{"nested": {"value": "x"}}'], "nested.value"),
-        (['{"items": [{"count": 1}, {"count": "x"}]}'], "items[].count"),
-        (['{"a": {"b": {"c": {"deep_field": 1}}}}', '{"a": {"b": {"c": {"deep_field": true}}}}'], "a.b.c.deep_field"),
-        (['{"tags": [1, "x"]}'], "tags[]"),
-        (['{"outer": {"items": [{"value": 1}, {"value": {}}]}}'], "outer.items[].value"),
-        (['{"matrix": [[1], ["x"]]}'], "matrix[][]"),
+        (['{"who": {"age": 1, "seen": 2}}', '{"who": {"age": "old"}}'], "who.age"),
+        (['{"basket": [{"price": 1}, {"price": "free"}]}'], "basket[].price"),
+        (['{"w": {"x": {"y": {"leaf": 1}}}}', '{"w": {"x": {"y": {"leaf": true}}}}'], "w.x.y.leaf"),
+        (['{"labels": [1, "x"]}'], "labels[]"),
+        (['{"trip": {"stops": [{"at": 1}, {"at": {}}]}}'], "trip.stops[].at"),
+        (['{"grid": [[1], ["x"]]}'], "grid[][]"),
         (['{"v": {"k": 1}}', '{"v": "x"}'], "v"),
         (['{"v": [1]}', '{"v": "x"}', '{"v": 2}'], "v"),
     ],
@@ -63,9 +64,6 @@ def test_inference_errors(spark, tmp_path):
     (tmp_path / "1.ndjson.gz").write_bytes(gzip.compress(b""))
     (tmp_path / "2.ndjson.gz").write_bytes(gzip.compress(b'{"a": 1}\n'))
     assert inf.infer_source(spark, [f"{tmp_path}/1.ndjson.gz", f"{tmp_path}/2.ndjson.gz"])[0].names == ["a"]
-    spark.createDataFrame([(1,)], "x int").write.parquet(f"{tmp_path}/p")
-    (tmp_path / "bad.parquet").write_bytes(b"no")
-    assert inf.infer_parquet(spark, [f"{tmp_path}/bad.parquet", f"{tmp_path}/p"]).names == ["x"]
 
 
 ALL = [("s", "string", True), ("i", "int32", True), ("l", "int64", True), ("f", "float32", True), ("d", "float64", True), ("b", "boolean", True), ("t", "timestamp", True), ("y", "date", True), ("j", "json", True), ("x", "binary", True)]
@@ -100,7 +98,6 @@ def test_files_fail_as_a_whole(spark, tmp_path):
     failed = failed_files(decoded)
     errors = {r["path"].rsplit("/", 1)[1].split(".")[0]: r["error"] for r in failed.collect()}
     assert set(errors) == {"syntax", "type", "required", "cut"} and errors["cut"].startswith("decompress") and "required field w" in errors["required"]
-    assert [r["v"] for r in good_records(decoded, failed).collect()] == [1]
     assert read_ndjson(spark, [], schema).collect() == []
 
 
@@ -110,3 +107,12 @@ def test_containers_become_compact_text(spark, tmp_path):
     df = read_ndjson(spark, [f"{tmp_path}/a.ndjson.gz"], declared_schema([("v", "string", True)]), coerce=True)
     assert [r["v"] for r in df.collect()] == ['{"b":1,"a":[1,2.5]}', '[1,"é"]', "0.00025", "true", "plain text", None]
     assert isinstance(df.schema["v"].dataType, T.StringType)
+
+
+def test_single_values_in_columns_of_arrays(spark, tmp_path):
+    lines = ['{"v": [1, 2], "w": ["a"]}', '{"v": 3, "w": "b"}', '{"v": "x", "w": ["c"]}', '{"v": null}', '{"v": 4, "w": ["d", "e"]}', "{bad"]
+    (tmp_path / "a.ndjson").write_text("\n".join(lines))
+    schema = T.StructType([T.StructField("v", T.ArrayType(T.LongType())), T.StructField("w", T.ArrayType(T.StringType()))])
+    got = read_ndjson(spark, [f"{tmp_path}/a.ndjson"], schema, "none").collect()
+    assert [(r["v"], r["w"]) for r in got if r[CORRUPT] is None] == [([1, 2], ["a"]), ([3], ["b"]), (None, None), ([4], ["d", "e"])]
+    assert sorted(r[CORRUPT] for r in got if r[CORRUPT] is not None) == ['{"v": "x", "w": ["c"]}', "{bad"]

@@ -5,11 +5,13 @@ from __future__ import annotations
 import json
 import logging
 import time
-from dataclasses import asdict, dataclass, field
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tidemark.operators.txlog import FinishedFile
 from tidemark.sources.storage import Storage, is_not_found
 
 log = logging.getLogger(__name__)
@@ -92,5 +94,24 @@ class CheckpointStore:
         return out
 
 
-def as_dict(watermark: Watermark) -> dict:
-    return asdict(watermark)
+class Journal:
+    """What a writer is about to publish, saved before the first file gets its name. After a crash the next start finishes it:
+    files that the journal names are published, and what they were made from counts as processed, exactly once."""
+
+    def __init__(self, storage: Storage, name: str, folder: str = "_checkpoints"):
+        self.storage, self.path, self.name = storage, f"{folder}/{name}.journal", name
+
+    def save(self, staging: str, plan: list[tuple[str, FinishedFile]], sources: list[str], number: int = 0) -> None:
+        files = [{"staged": staged, "path": f.path, "size": f.size, "records": f.records, "values": f.partition_values, "schema": f.schema.json()} for staged, f in plan]
+        self.storage.write(self.path, json.dumps({"staging": staging, "number": number, "sources": sources, "files": files}).encode())
+
+    def load(self) -> tuple[str, list[tuple[str, FinishedFile]], list[str], int] | None:
+        """(staging folder, plan, sources, number) of what may not have been finished."""
+        if not self.storage.exists(self.path):
+            return None
+        raw = json.loads(self.storage.read(self.path))
+        plan = [(f["staged"], FinishedFile(f["path"], f["size"], f["records"], f["values"], T.StructType.fromJson(json.loads(f["schema"])))) for f in raw["files"]]
+        return raw["staging"], plan, raw["sources"], raw["number"]
+
+    def clear(self) -> None:
+        self.storage.delete(self.path)

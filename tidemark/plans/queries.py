@@ -6,6 +6,7 @@ from __future__ import annotations
 import gzip
 from collections.abc import Callable
 from datetime import UTC, datetime
+from types import SimpleNamespace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.partitions import date_prefixes, path_values
 from tidemark.operators import evolution
-from tidemark.operators.dlq import by_stage
+from tidemark.operators.dlq import DeadLetters, by_stage
 from tidemark.operators.sink import CODECS, write_files
 from tidemark.operators.sink import file_stats as footer_rows
 from tidemark.operators.txlog import FinishedFile, Table
@@ -293,32 +294,81 @@ def idempotent_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _events(table.read())
 
 
+class _Crash(BaseException):
+    """Ends a process as a kill would, so far as this library can tell."""
+
+
+def _crashing(ingester: Ingester, place: str) -> Ingester:
+    """Dies in its second batch: before its files get their names, after some have them, or before the watermark is saved."""
+    batches = []
+
+    def counted(step):
+        def run(*given):
+            batches.append(1)
+            if len(batches) == 2:
+                raise _Crash
+            return step(*given)
+
+        return run
+
+    if place == "staged":
+        ingester._journal = lambda s, real=ingester._journal: SimpleNamespace(load=real(s).load, clear=real(s).clear, save=counted(real(s).save))
+    elif place == "moving":
+        real, moves = ingester.table.rename, []
+
+        def rename(source: str, target: str) -> None:
+            moves.append(1)
+            if len(moves) == 8:
+                raise _Crash
+            real(source, target)
+
+        ingester.table.rename = rename
+    else:
+        ingester.checkpoints.save = counted(ingester.checkpoints.save)
+    return ingester
+
+
 @_query(EVENTS_SQL)
 def recover_after_crash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ingester's first half is written but not committed when all memory is lost; new processes go on."""
+    """Ingesters die one after the other: with files that have no names yet, amid naming them, and before what was read is
+    saved; a committer runs in between. The next ones go on, and nothing is lost or there twice."""
     source = _staged(spark, sf_dir)
     config = _config(source.uri(), fresh(spark, "table"), EVENT_FIELDS, use_watermark=True)
     config.sources["default"].checkpoint.interval_files = 5
-    first = Ingester(spark, "events", config)
-    calls = []
-
-    def crash(files: list[FinishedFile]) -> None:
-        calls.append(files)
-        if len(calls) == 3:
-            raise KeyboardInterrupt
-
-    try:
-        first.step(crash)
-    except KeyboardInterrupt:
-        for f in calls[-1]:  # its files were never accounted for
-            first.table.delete(f.path)
-    Ingester(spark, "events", config).step()
     tables = TableConfig(config.sink.table_uri, partition_by=config.sink.partition_by)
-    Committer(spark, "events", tables).step()
-    Committer(spark, "events", tables).step()
+    for place in ("staged", "moving", "watermark"):
+        try:
+            _crashing(Ingester(spark, "events", config), place).step()
+        except _Crash:
+            Committer(spark, "events", tables).step()
+    Ingester(spark, "events", config).step()
+    for _ in range(2):
+        Committer(spark, "events", tables).step()
     return _events(Table(spark, config.sink.table_uri).read())
 
 
+@_query("SELECT event_id, CASE WHEN event_id % 3 = 0 THEN [user_id] WHEN event_id % 3 = 1 THEN [user_id, event_id] END AS tags, CAST(18446744073709551615 AS DOUBLE) AS wide FROM events")
+def single_values_and_wide_integers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column of arrays with single values among them, and integers of over 63 bits, under an inferred schema."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    tags = F.when(F.col("event_id") % 3 == 0, F.col("user_id").cast("string")).when(F.col("event_id") % 3 == 1, F.concat(F.lit("["), F.col("user_id"), F.lit(", "), F.col("event_id"), F.lit("]"))).otherwise("null")
+    line = F.concat(F.lit('{"event_id": '), F.col("event_id"), F.lit(', "tags": '), tags, F.lit(', "wide": 18446744073709551615}'))
+    source = stage(events.select(line.alias("value"), F.date_format("ts", "'date='yyyy-MM-dd").alias("dir"), F.lit("all").alias("file")), fresh(spark, "source"))
+    return _ingest(spark, _config(source.uri(), fresh(spark, "table"), None)).read().select("event_id", "tags", "wide")
+
+
+@_query(EVENTS_SQL)
+def stream_bad_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The file stream over a source in which some files have corrupt records: these go whole, and leave no empty rows."""
+    source = _with_bad_files(spark, sf_dir)
+    source.delete("date=2024-02-03/truncated.ndjson.gz")
+    config = _config(source.uri(), fresh(spark, "table"), EVENT_FIELDS)
+    table, letters = Table(spark, config.sink.table_uri), DeadLetters(spark, fresh(spark, "dlq"))
+    table.create(config.schema.declared(), ("date",))
+    stream_ingest(spark, source.uri(), table, config.schema.declared(), fresh(spark, "stream"), "stream", 8, ("date",), letters=letters).awaitTermination()
+    return _events(table.read())
+
+
 def _with_bad_files(spark: SparkSession, sf_dir: str) -> Storage:
     source = _staged(spark, sf_dir)
     good = gzip.compress(b'{"event_id": 1}\n')
@@ -485,10 +535,14 @@ def recovered_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(state.transactions["daily"], watermark, sum(f["numRecords"] for f in state.files.values()))], "version long, watermark string, records long")
 
 
-@_query("SELECT * FROM (VALUES ('items[].count', 'integer, string'), ('tag', 'array, object'), ('nested.value', 'boolean, integer')) AS t(path, kinds)")
+@_query("SELECT path, kinds FROM (SELECT 'basket[].price' AS path, 'integer, string' AS kinds, count(*) AS n FROM events WHERE event_id < 100 UNION ALL SELECT 'who.known', 'boolean, integer', count(*) FROM events WHERE event_id < 100) WHERE n > 1")
 def conflict_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = ['{"items": [{"count": 1}, {"count": "x"}], "tag": [1], "nested": {"value": 1, "ok": 1}}', '{"tag": {"a": 1}, "nested": {"value": true}}']
-    _, found = inference.infer_lines(lines, coerce_conflicts=True)
+    """What inference reports on records whose members' types differ by the parity of the event's id."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").filter("event_id < 100").orderBy("event_id")
+    odd = F.col("event_id") % 2 == 1
+    price = F.when(odd, F.concat(F.lit('"'), F.col("event_type"), F.lit('"'))).otherwise(F.col("user_id").cast("string"))
+    line = F.concat(F.lit('{"basket": [{"price": '), price, F.lit('}], "who": {"known": '), F.when(odd, "true").otherwise("1"), F.lit("}}"))
+    _, found = inference.infer_lines([r[0] for r in events.select(line).collect()], coerce_conflicts=True)
     return spark.createDataFrame([(c.path, c.reason) for c in found], "path string, kinds string")
 
 

@@ -62,20 +62,25 @@ def named_for(uri: str, compression: str) -> bool:
     return uri.endswith(EXTENSIONS[compression]) if EXTENSIONS[compression] else not uri.endswith(tuple(known))
 
 
-def _compact(values: pd.Series) -> pd.Series:
-    def one(text: str | None) -> str | None:
-        try:
-            return json.dumps(json.loads(text), separators=(",", ":"), ensure_ascii=False)
-        except (TypeError, ValueError):
-            return text
+def _compactor():
+    """Made within a function, so that it is sent to the executors as it is: they need not have this package."""
 
-    return values.map(one)
+    def compact(values: pd.Series) -> pd.Series:
+        def one(text: str | None) -> str | None:
+            try:
+                return json.dumps(json.loads(text), separators=(",", ":"), ensure_ascii=False)
+            except (TypeError, ValueError):
+                return text
+
+        return values.map(one)
+
+    return compact
 
 
 def compact_containers(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Text of an object or array in a top-level string column without blanks between its parts, keys as they stand; other
     text goes by untouched, and rows without such text never leave the JVM's columns they are in."""
-    one = F.pandas_udf(_compact, "string")
+    one = F.pandas_udf(_compactor(), "string")
     for f in schema:
         if isinstance(f.dataType, T.StringType):
             value = F.col(f"`{f.name}`")
@@ -105,7 +110,13 @@ def read_ndjson(spark: SparkSession, uris: list[str], schema: T.StructType, comp
         parts.append(parsed.select(*[F.col(f"r.`{f.name}`").alias(f.name) for f in open_schema], F.coalesce("failure", f"r.{CORRUPT}").alias(CORRUPT), SOURCE_FILE))
     if not parts:
         return spark.createDataFrame([], T.StructType([*with_corrupt, T.StructField(SOURCE_FILE, T.StringType())]))
-    df = reduce(DataFrame.unionByName, parts)
+    return checked(reduce(DataFrame.unionByName, parts), schema, coerce)
+
+
+def checked(df: DataFrame, schema: T.StructType, coerce: bool = False) -> DataFrame:
+    """Decoded records with all of their faults in _corrupt_record: required fields that are null are one, and a single value
+    in place of an array isn't."""
+    df = _single_values(df, schema)
     missing = [f.name for f in schema if not f.nullable]
     if missing:
         absent = reduce(lambda a, b: F.coalesce(a, b), [F.when(F.col(f"`{n}`").isNull(), F.lit(f"required field {n} is null")) for n in missing])
@@ -114,14 +125,26 @@ def read_ndjson(spark: SparkSession, uris: list[str], schema: T.StructType, comp
 
 
 def failed_files(decoded: DataFrame) -> DataFrame:
-    """(path, error) of files with a corrupt record."""
-    return decoded.filter(F.col(CORRUPT).isNotNull()).groupBy(F.col(SOURCE_FILE).alias("path")).agg(F.min(CORRUPT).alias("error"))
-
-
-def good_records(decoded: DataFrame, failed: DataFrame) -> DataFrame:
-    """Records of files without any corrupt one; a file goes as a whole."""
-    return decoded.join(F.broadcast(failed.select(F.col("path").alias(SOURCE_FILE))) if failed.count() < 10_000 else failed.select(F.col("path").alias(SOURCE_FILE)), SOURCE_FILE, "left_anti").drop(CORRUPT)
-
-
-def file_column() -> Column:
-    return F.col(SOURCE_FILE)
+    """(path, error) of files with a corrupt record, one row for each."""
+    beside = next((c for c in decoded.columns if c not in (CORRUPT, SOURCE_FILE)), SOURCE_FILE)  # Spark reads no corrupt record by itself
+    found = decoded.groupBy(F.col(SOURCE_FILE).alias("path")).agg(F.min(CORRUPT).alias("error"), F.count(F.col(f"`{beside}`")).alias("_beside"))
+    return found.filter("error is not null and _beside >= 0").select("path", "error")
+
+
+def _single_values(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """A record that is corrupt because a column of arrays has a value that is no array is read once more, with that value as
+    an array of one. Other records are left as they are."""
+    arrays = {f.name: f.dataType for f in schema if isinstance(f.dataType, T.ArrayType) and not isinstance(f.dataType.elementType, (T.StructType, T.ArrayType))}
+    if not arrays:
+        return df
+    loose = T.StructType([*[T.StructField(f.name, T.StringType() if f.name in arrays else f.dataType, True) for f in schema], T.StructField(CORRUPT, T.StringType())])
+    again = F.from_json(CORRUPT, loose, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    df = df.withColumn("_again", F.when(F.col(CORRUPT).isNotNull(), again))
+    values, good = {}, F.col("_again").isNotNull() & F.col(f"_again.{CORRUPT}").isNull()
+    for name, kind in arrays.items():
+        text = F.col(f"_again.`{name}`")
+        values[name] = F.when(text.rlike(r"^\s*\["), F.from_json(text, kind)).otherwise(F.when(text.isNotNull(), F.array(text.try_cast(kind.elementType))))
+        good = good & (text.isNull() | (values[name].isNotNull() & ~F.exists(values[name], lambda x: x.isNull())))
+    df = df.withColumn("_good", F.coalesce(good, F.lit(False)))
+    fixed = {f.name: F.when(F.col("_good"), values.get(f.name, F.col(f"_again.`{f.name}`"))).otherwise(F.col(f"`{f.name}`")) for f in schema}
+    return df.withColumns(fixed | {CORRUPT: F.when(~F.col("_good"), F.col(CORRUPT))}).drop("_again", "_good")

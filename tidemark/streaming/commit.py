@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.partitions import path_values
-from tidemark.operators.sink import file_stats, write_files
+from tidemark.operators.sink import Footers, write_files
 from tidemark.operators.txlog import FinishedFile, Table
 from tidemark.plans.config import TableConfig
 from tidemark.sources import discovery, nanos
@@ -27,7 +27,7 @@ class Committer:
         self.spark, self.name, self.config, self.now = spark, name, config, now
         self.metrics = metrics or Metrics()
         self.table = Table(spark, config.table_uri, config.delta_checkpoint_interval, config.storage_options)
-        self.app_id = f"committer-{name}"
+        self.app_id, self.footers = f"committer-{name}", Footers(self.table.storage)
         self.nanoseconds: list[str] = []
         info, self.watermark, _ = self.table.recover(self.app_id) if self.table.snapshot().version >= 0 else (None, None, False)
         self.batch = info["batch"] + 1 if info and "batch" in info else 0
@@ -43,8 +43,8 @@ class Committer:
         """None, with a warning, for a file that isn't Parquet."""
         path, size = entry
         try:
-            schema = self.spark.read.parquet(self.table.storage.uri(path)).schema
-            return FinishedFile(path, size, file_stats(self.table.storage, [path])[path], path_values(path), schema)
+            rows, schema = self.footers.read(path)
+            return FinishedFile(path, size, rows, path_values(path), schema)
         except Exception as error:  # noqa: BLE001
             if nanos.refused(error):
                 self.nanoseconds.append(path)
