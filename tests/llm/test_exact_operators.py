@@ -48,6 +48,39 @@ def test_sharding_places_every_row_once_in_near_equal_shards(spark, options):
     assert all(len(s) == 1 for s in groups.values())
 
 
+def test_shards_are_those_of_the_sorted_keys(spark):
+    """Shard and slot again, from the records in order of their keys and one axis of bytes."""
+    rng = random.Random(9)
+    data = [(k, prose(rng, rng.randint(0, 60)), "en", "s", 0) for k in range(300)] + [(1000 + k, "copies " * 9, "en", "s", 0) for k in range(200)]
+    df = frame(spark, data)
+    hashes = {r["doc_id"]: r["h"] for r in df.select("doc_id", F.xxhash64("text").alias("h")).collect()}
+    records = sorted((hashes[i], i, len(t.encode()) + 8) for i, t, *_ in data)
+    total, at, groups, expected, seen = sum(x[2] for x in records), 0, {}, {}, collections.Counter()
+    for h, i, n in records:
+        groups.setdefault(h, [at, 0, {}])
+        groups[h][1] += n
+        groups[h][2][i] = (at, n)
+        at += n
+    for h, i, _ in records:
+        begin, size, members = groups[h]
+        middle = begin + size / 2 if size * 100 * 7 <= total else members[i][0] + members[i][1] / 2
+        shard = min(int(middle * 7 / total), 6)
+        expected[i] = (shard, seen[shard])
+        seen[shard] += 1
+    for options in ({}, {"ranges": 8, "keys_a_range": 2}, {"ranges": 2, "range_rows": 20}):
+        assert {r["doc_id"]: (r["shard"], r["slot"]) for r in sharding.assign_shards(df, 7, **options).collect()} == expected
+
+
+def test_overfull_ranges_are_subdivided(spark, monkeypatch):
+    """A third of the rows are one and the same row."""
+    held = []
+    numbered = sharding._numbered
+    monkeypatch.setattr(sharding, "_numbered", lambda keyed, *rest: held.append(keyed) or numbered(keyed, *rest))
+    data = [(k, f"text {k}", "en", "s", 0) for k in range(400)] + [(7, "the same", "en", "s", 0)] * 200
+    out = sharding.assign_shards(frame(spark, data), 3, ranges=10, range_rows=40).collect()
+    assert len(out) == 600 and max(r["count"] for r in held[0].groupBy("range").count().collect()) <= 40
+
+
 def test_sharding_of_nothing(spark):
     assert sharding.assign_shards(frame(spark, []), 3).collect() == []
     with pytest.raises(ValueError):

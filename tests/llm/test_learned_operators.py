@@ -205,4 +205,47 @@ def test_pipeline_of_nothing_and_of_nulls(spark, tmp_path):
         spark.createDataFrame(data, schema).write.parquet(f"{tmp_path}/{name}/documents.parquet")
         spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/{name}/benchmark.parquet")
         out = corpus_pipeline.run(spark, f"{tmp_path}/{name}").collect()
-        assert sorted(str(r["doc_id"]) for r in out) == ([] if name == "a" else ["1", "1", "None"])
+        assert sorted(str(r["doc_id"]) for r in out) == ([] if name == "a" else ["1", "None"])  # of the two equal rows one stays
+
+
+def test_weights_are_those_of_plain_ftrl():
+    """FTRL-proximal coordinate by coordinate, from its definition."""
+    rng = np.random.default_rng(1)
+    examples = [(np.unique(rng.integers(0, 30, rng.integers(1, 8))).astype(np.uint32), int(rng.random() < 0.4)) for _ in range(60)]
+    alpha, beta, l1, l2 = 0.5, 1.0, 0.3, 0.1
+    z, n = {}, {}
+
+    def weight(f):
+        zf = z.get(f, 0.0)
+        shrink = 0.0 if f == "bias" else l1
+        ridge = 0.0 if f == "bias" else l2
+        return 0.0 if abs(zf) <= shrink else -(zf - np.sign(zf) * shrink) / ((beta + n.get(f, 0.0) ** 0.5) / alpha + ridge)
+
+    for epoch in range(3):
+        for k in np.random.default_rng(epoch).permutation(len(examples)):
+            features, label = [*examples[k][0].tolist(), "bias"], examples[k][1]
+            w = {f: weight(f) for f in features}
+            g = 1 / (1 + np.exp(-sum(w.values()))) - label
+            for f in features:
+                sigma = ((n.get(f, 0.0) + g * g) ** 0.5 - n.get(f, 0.0) ** 0.5) / alpha
+                z[f] = z.get(f, 0.0) + g - sigma * w[f]
+                n[f] = n.get(f, 0.0) + g * g
+    model = toxicity.fit(examples, 5, 3, alpha, beta, l1, l2)
+    dense = model.dense()
+    assert [dense[f] for f in range(30)] == pytest.approx([weight(f) for f in range(30)], abs=1e-5)
+    assert model.bias == pytest.approx(weight("bias")) and 0 < len(model.ids) < 30
+
+
+def test_short_items_and_scripts_without_blanks(spark):
+    items = spark.createDataFrame([(1, "two words"), (2, "単語の間に空白がない文章です"), (None, "an item without an id at all"), (4, "Once"), (5, ""), (6, None)], "item_id long, text string")
+    docs = frame(spark, [(1, "here are Two words, and more", "", "", 0), (2, "前置き。単語の間に空白がない文章です。後書き", "", "", 0), (3, "see an item without an id at all", "", "", 0), (4, "two other words", "", "", 0), (5, "文章", "", "", 0), (6, "once more", "", "", 0), (7, "", "", "", 0)])
+    out = sorted((r["doc_id"], r["item_id"], round(r["score"], 2)) for r in decontamination.find_leaks(docs, items).collect())
+    assert [x for x in out if x[2] == 1.0] == [(1, 1, 1.0), (2, 2, 1.0), (3, None, 1.0), (6, 4, 1.0)]
+    assert {x[0] for x in out} == {1, 2, 3, 6}
+
+
+def test_many_languages_have_a_landmark_each():
+    rng = np.random.default_rng(2)
+    packed = rng.integers(0, 256, (600, language_id.DIM // 8), dtype=np.uint8) & rng.integers(0, 256, (600, language_id.DIM // 8), dtype=np.uint8)
+    model = language_id.fit(packed, [f"l{k % 300}" for k in range(600)], landmarks=20)
+    assert len(model.labels) == 300 and model.landmarks.shape[1] == 300
