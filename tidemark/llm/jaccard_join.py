@@ -258,16 +258,29 @@ def _roots(matrix: DataFrame, t: tuple[int, int]) -> DataFrame:
         stars = settled.join(hubs, "token").filter((F.col("root") != F.col("hub.root")) & _room(F.col("n"), F.col("pos"), F.col("hub.n"), F.col("hub.pos"), t))
         links = _linked_pairs(stars.select(F.col("node").alias("u"), F.col("hub.node").alias("v"), F.col("n").alias("n_u"), F.col("hub.n").alias("n_v")), sets, t)
         if roots is None or not links.isEmpty():
-            roots = components(links if roots is None else roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(links))
+            roots = _joined(roots, links)
     for every in (False, True):
         settled = written(entries.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "entries")
         links = _linked_pairs(_cross_pairs(settled, matrix, t, every), sets, t)
         if not links.isEmpty():
-            roots = components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(links))
+            roots = _joined(roots, links)
         drop_written(settled)
     return roots
 
 
+def _joined(roots: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(node, root) after more links (u, v). Links are drawn between the roots so far, so that of many links between two
+    components one is left."""
+    if roots is None:
+        return components(links)
+    ends = links.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    whole = written(roots.unionByName(ends.join(roots, "node", "left_anti").select("node", F.col("node").alias("root"))), "nodes")
+    u, v = (whole.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")) for c in ("u", "v"))
+    between = links.join(u, "u").join(v, "v").filter("root_u <> root_v").select(F.greatest("root_u", "root_v").alias("u"), F.least("root_u", "root_v").alias("v")).distinct()
+    merged = components(between).select(F.col("node").alias("root"), F.col("root").alias("least"))
+    return written(whole.join(merged, "root", "left").select("node", F.coalesce("least", "root").alias("root")), "roots")
+
+
 def _cross_pairs(settled: DataFrame, matrix: DataFrame, t: tuple[int, int], every: bool) -> DataFrame:
     """Pairs (u, v) of columns that join different components: for each node its nearest one in each other component, by
     the sketches, or every one that the bounds leave."""
