@@ -355,6 +355,25 @@ def test_links_across_blocks(spark, monkeypatch):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in out} == classes(data)
 
 
+def test_forests_are_those_of_kruskal():
+    g = np.random.default_rng(1)
+    for _ in range(300):
+        n, e = int(g.integers(2, 30)), int(g.integers(1, 80))
+        label = np.unique(g.integers(0, n, n), return_inverse=True)[1]
+        x, y, apart = g.integers(0, n, e), g.integers(0, n, e), g.integers(0, 5, e)
+        between = label[x] != label[y]
+        x, y, apart = x[between], y[between], apart[between]
+        tree, joined = jaccard_join._forest(x, y, apart, label)
+        root, sizes = list(label), []
+        for k in np.argsort(apart, kind="stable"):
+            if root[x[k]] != root[y[k]]:
+                old, new = root[x[k]], root[y[k]]
+                root = [new if r == old else r for r in root]
+                sizes.append(apart[k])
+        assert tree.sum() == len(sizes) and apart[tree].sum() == sum(sizes)
+        assert all((root[i] == root[j]) == (joined[i] == joined[j]) for i, j in itertools.combinations(range(n), 2))
+
+
 def test_links_with_odd_rows(spark):
     data = with_odd_rows(corpus())
     out = jaccard_join.link_components(frame(spark, data)).collect()

@@ -6,7 +6,7 @@ from their first common column on there must be room for the overlap that their
 choose which entries of the product are wanted, and the product accumulates those over all columns, block by block of
 columns, dropping each as soon as its count and what is left of the shorter row can't reach the bound of the two sizes. Links
 are found in rounds: first each column's members against one of them, a smallest and then others, as long as the column joins
-different components; then, where one still does, each member against its nearest in every other component; and at last
+different components; then, where one still does, the nearest pairs that would make one component of it; and at last
 all pairs across components that are left, less those whose sketches (parities of hashed shingles) differ in more places than
 a link's sets may. Pairs inside a component never need to be formed, nor pairs of copies.
 """
@@ -282,8 +282,8 @@ def _joined(roots: DataFrame | None, links: DataFrame) -> DataFrame:
 
 
 def _cross_pairs(settled: DataFrame, matrix: DataFrame, t: tuple[int, int], every: bool) -> DataFrame:
-    """Pairs (u, v) of columns that join different components: for each node its nearest one in each other component, by
-    the sketches, or every one that the bounds leave."""
+    """Pairs (u, v) of columns that join different components: a spanning forest of each column's components, nearest pairs by
+    the sketches first, or every one that the bounds leave."""
     mixed = settled.groupBy("token").agg(F.count(F.lit(1)).alias("members"), F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1")
     mixed = written(mixed.select("token", F.ceil(F.col("members") / F.lit(BLOCK)).cast("int").alias("blocks")), "mixed")
     # A column of one block shares a task's call with others; a larger one has a call for every pair of its blocks.
@@ -296,23 +296,50 @@ def _cross_pairs(settled: DataFrame, matrix: DataFrame, t: tuple[int, int], ever
     return tiles.repartition(tasks, "cell", "own", "i", "j").groupBy("cell", "own", "i", "j").applyInArrow(tidy(_tile(t, every)), "u long, v long, n_u long, n_v long")
 
 
+def _forest(x: np.ndarray, y: np.ndarray, apart: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the pairs (x, y) make a spanning forest of the components that they join, nearest pairs first (Boruvka's
+    rounds), and the components' labels with it."""
+    rank = np.empty(len(x), np.int64)
+    rank[np.argsort(apart, kind="stable")] = np.arange(len(x))
+    by_rank = np.argsort(rank)
+    chosen, left = np.zeros(len(x), bool), np.arange(len(x))
+    while len(left := left[label[x[left]] != label[y[left]]]):
+        # Each component takes its first pair; ranks differ, so two components at most take one another's.
+        first = np.full(int(label.max()) + 1, len(x))
+        np.minimum.at(first, label[x[left]], rank[left])
+        np.minimum.at(first, label[y[left]], rank[left])
+        taken = np.flatnonzero(first < len(x))
+        pair = by_rank[first[taken]]
+        chosen[pair] = True
+        parent = np.arange(len(first))
+        parent[taken] = label[x[pair]] + label[y[pair]] - taken
+        parent = np.where((parent[parent] == np.arange(len(parent))) & (np.arange(len(parent)) < parent), np.arange(len(parent)), parent)
+        while not np.array_equal(parent, parent[parent]):
+            parent = parent[parent]
+        label = parent[label]
+    return chosen, label
+
+
 def _tile(t: tuple[int, int], every: bool):
-    """Pairs of two blocks of a column, or within several small columns, that join different components and pass the bounds."""
+    """Pairs of two blocks of a column, or within several small columns, that join different components and pass the bounds:
+    every such pair, or a spanning forest of each column's, which has fewer pairs than the column has members."""
 
     def pairs(table: pa.Table) -> pa.Table:
         token, node, n, pos, root, block, i, j = (table.column(c).to_numpy() for c in ("token", "node", "n", "pos", "root", "block", "i", "j"))
         sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint64).reshape(len(node), -1)
         order = np.argsort(token, kind="stable")
         edges = np.flatnonzero(np.concatenate([[True], np.diff(token[order]) != 0, [True]]))
+        components_here = np.unique(root, return_inverse=True)[1]
         out = [np.empty((0, 4), np.int64)]
         for start, end in zip(edges[:-1], edges[1:], strict=True):
             own = order[start:end]
             left, right = own[block[own] == i[0]], own[block[own] == j[0]]
+            label = components_here
             step = max(1, (1 << 20) // max(1, len(right)))
             for k in range(0, len(left), step):
                 a, b = left[k : k + step, None], right[None, :]
                 small, large = np.minimum(n[a], n[b]), np.maximum(n[a], n[b])
-                fits = (root[a] != root[b]) & (small * t[1] >= large * t[0]) & (np.minimum(n[a] - pos[a], n[b] - pos[b]) * (t[0] + t[1]) >= (small + large) * t[0])
+                fits = (label[a] != label[b]) & (small * t[1] >= large * t[0]) & (np.minimum(n[a] - pos[a], n[b] - pos[b]) * (t[0] + t[1]) >= (small + large) * t[0])
                 x, y = np.nonzero(fits)
                 if not len(x):
                     continue
@@ -321,10 +348,8 @@ def _tile(t: tuple[int, int], every: bool):
                 near = apart * (t[0] + t[1]) <= (n[x] + n[y]) * (t[1] - t[0])
                 x, y, apart = x[near], y[near], apart[near]
                 if not every and len(x):
-                    nearest = np.lexsort((apart, root[y], x))
-                    x, y = x[nearest], y[nearest]
-                    lead = np.concatenate([[True], (x[1:] != x[:-1]) | (root[y][1:] != root[y][:-1])])
-                    x, y = x[lead], y[lead]
+                    tree, label = _forest(x, y, apart, label)
+                    x, y = x[tree], y[tree]
                 x, y = np.where(node[x] > node[y], x, y), np.where(node[x] > node[y], y, x)
                 out.append(np.unique(np.stack([node[x], node[y], n[x], n[y]], 1), axis=0))
         found = np.unique(np.concatenate(out), axis=0)
