@@ -5,6 +5,7 @@ import hashlib
 import itertools
 import math
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -283,6 +284,31 @@ def test_large_histogram_reaches_the_bound():
         packing.pack_histogram({5000: 1})
 
 
+def test_a_long_descent_keeps_the_tables_of_few_nodes():
+    """Thousands of nodes, each of which enumerates from tables of up to megabytes."""
+    rng = random.Random(4)
+    counts = collections.Counter(rng.randint(300, 3000) for _ in range(5000))
+    tracemalloc.start()
+    packed = packing.pack_histogram(dict(counts), steps=50)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(t for _, t in packed) <= sum(t for _, t in packing.best_fit(counts, 4096))
+    assert peak < 32 << 20
+
+
+def test_released_tables_change_no_packing(monkeypatch):
+    """With a single live node, every return computes its tables again."""
+    rng = random.Random(8)
+    for _ in range(60):
+        capacity = rng.choice([20, 50, 128])
+        counts = collections.Counter(rng.randint(1, capacity) for _ in range(rng.choice([12, 40, 120])))
+        found = []
+        for live in (1, 10_000):
+            monkeypatch.setattr(packing, "LIVE", live)
+            found.append(packing.pack_histogram(dict(counts), capacity, steps=300))
+        assert found[0] == found[1]
+
+
 def test_packed_pieces(spark):
     data = with_odd_rows(corpus())
     encoder = Encoder(read_tokenizer(default_tokenizer_path()))

@@ -5,15 +5,16 @@ many documents there are. The best-fit decreasing packing is the first incumbent
 length left and completes a sequence around it: its children are the undominated fillings of the room, the least waste first
 and few pieces before many, each repeated as often as the counts allow, and then each once, which makes the search complete.
 Fillings are enumerated lazily, at every size alike; only the number of steps bounds the search (STEPS), and the bound on the
-waste prunes it.
+waste prunes it. A descent has thousands of nodes; what they enumerate from is kept for the deepest few (LIVE) alone.
 """
 
 from __future__ import annotations
 
 import bisect
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from functools import cached_property, partial
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,8 @@ from tidemark.llm.token_output import bits_for, pack
 CAPACITY = 4096
 #: Steps that the search may take beyond its first descent: nodes opened and fillings looked at.
 STEPS = 20_000
+#: The deepest nodes of the search, which keep their tables (up to 3 MB each); others compute them again on return.
+LIVE = 16
 PIECES = "doc_id long, piece int, start long, length int, ids_crc32 long, ids binary, part int, nth long"
 Filling = tuple[tuple[int, int], ...]
 
@@ -128,68 +131,106 @@ def _dominated(filling: Filling, gap: int, spare: int, mask: int) -> bool:
     return bool(placed & spare)
 
 
+class Tables:
+    """What the fillings of a room are looked up in. Computed when needed, from the histogram that the room can be filled
+    from, and again after `release`, for which the histogram has to be the same whenever it is asked for."""
+
+    def __init__(self, histogram: Callable[[], np.ndarray], room: int):
+        self.histogram, self.room, self.mask = histogram, room, (1 << (room + 1)) - 1
+
+    def release(self) -> None:
+        for name in ("have", "lengths", "spare", "high", "sizes", "suffix"):
+            vars(self).pop(name, None)
+
+    @cached_property
+    def have(self) -> np.ndarray:
+        return self.histogram()[: self.room + 1]
+
+    @cached_property
+    def lengths(self) -> np.ndarray:
+        return np.flatnonzero(self.have)
+
+    @cached_property
+    def spare(self) -> int:
+        """Lengths as bits."""
+        return int.from_bytes(np.packbits(self.have > 0, bitorder="little").tobytes(), "little")
+
+    @cached_property
+    def high(self) -> np.ndarray:
+        """The longer lengths of pairs that leave no waste, descending."""
+        high = self.lengths[(2 * self.lengths >= self.room) & (self.lengths < self.room)][::-1]
+        return high[self.have[self.room - high] > (2 * high == self.room)]
+
+    @cached_property
+    def sizes(self) -> list[tuple[int, int]]:
+        """(length, how many the room takes), descending."""
+        down = self.lengths[::-1]
+        return [(n, min(k, self.room // n)) for n, k in zip(down.tolist(), self.have[down].tolist(), strict=True)]
+
+    @cached_property
+    def suffix(self) -> list[int]:
+        """Of each k, the sums that the lengths from the kth on (descending) reach."""
+        suffix = [1] * (len(self.sizes) + 1)
+        for k in range(len(self.sizes) - 1, -1, -1):
+            suffix[k] = _with_copies(suffix[k + 1], *self.sizes[k], self.mask)
+        return suffix
+
+    def allowed(self, f: Filling) -> bool:
+        left = self.spare
+        for n, m in f:
+            if self.have[n] == m:
+                left &= ~(1 << n)
+        return not _dominated(f, self.room - sum(n * m for n, m in f), left, self.mask)
+
+    def pair(self, at: int) -> Filling | None:
+        """The filling of two pieces with this one of `high`, where no other dominates it."""
+        n = int(self.high[at])
+        f = ((n, 1), (self.room - n, 1)) if 2 * n > self.room else ((n, 2),)
+        return f if self.allowed(f) else None
+
+    def further(self, k: int, rest: int, chosen: Filling) -> list[tuple[int, int, Filling]]:
+        """The ways on from `chosen` to a sum that lacks `rest`, with the kth length or a shorter one; each leads to one."""
+        sizes, suffix = self.sizes, self.suffix
+        k = max(k, len(sizes) - int(np.searchsorted(self.lengths, rest, "right")))
+        while True:
+            n, m = sizes[k]
+            copies = [j for j in range(min(m, rest // n) + 1) if suffix[k + 1] >> (rest - j * n) & 1]
+            if copies != [0]:
+                return [(k + 1, rest - j * n, (*chosen, (n, j)) if j else chosen) for j in copies]
+            k += 1
+
+
 def fillings(have: np.ndarray, room: int) -> Iterator[Filling | None]:
     """The undominated fillings of the room from the lengths that the histogram has, the least waste first, then few pieces
     before many. None stands for a step that gave nothing."""
-    if room < len(have) and have[room]:
+    return _fillings(Tables(lambda: have, room))
+
+
+def _fillings(tables: Tables) -> Iterator[Filling | None]:
+    """Between two steps no table is held here, so that `tables` can be released."""
+    room = tables.room
+    if room < len(tables.have) and tables.have[room]:
         yield ((room, 1),)  # one piece as large as the room dominates all others
         return
-    have = have[: room + 1]
-    lengths = np.flatnonzero(have)
-    if not len(lengths):
+    if not len(tables.lengths):
         yield ()
         return
-    mask = (1 << (room + 1)) - 1
-    spare = int.from_bytes(np.packbits(have > 0, bitorder="little").tobytes(), "little")
-
-    def allowed(f: Filling) -> bool:
-        left = spare
-        for n, m in f:
-            if have[n] == m:
-                left &= ~(1 << n)
-        return not _dominated(f, room - sum(n * m for n, m in f), left, mask)
-
     # Without waste, two pieces: no table of sums is needed to find them.
-    high = lengths[(2 * lengths >= room) & (lengths < room)]
-    high = high[::-1][have[room - high[::-1]] > 0]
-    for n in high.tolist():
-        pair = ((n, 1), (room - n, 1)) if 2 * n > room else ((n, 2),)
-        if 2 * n == room and have[n] < 2:
-            continue
-        yield pair if allowed(pair) else None
-    # suffix[k]: sums that the lengths from the kth on (descending) reach.
-    sizes = [(n, min(k, room // n)) for n, k in zip(lengths[::-1].tolist(), have[lengths[::-1]].tolist(), strict=True)]
-    suffix = [1] * (len(sizes) + 1)
-    for k in range(len(sizes) - 1, -1, -1):
-        suffix[k] = _with_copies(suffix[k + 1], *sizes[k], mask)
-    ascending = lengths.tolist()
-    sums = suffix[0]
-
-    def exact(goal: int) -> Iterator[Filling | None]:
-        """Fillings with this sum, large pieces first; every path that is begun ends in one."""
-        stack: list[tuple[int, int, Filling]] = [(0, goal, ())]
-        while stack:
-            k, rest, chosen = stack.pop()
-            if not rest:
-                yield chosen
-                continue
-            k = max(k, len(sizes) - bisect.bisect_right(ascending, rest))
-            while True:
-                n, m = sizes[k]
-                copies = [j for j in range(min(m, rest // n) + 1) if suffix[k + 1] >> (rest - j * n) & 1]
-                if copies != [0]:
-                    break
-                k += 1
-            stack += [(k + 1, rest - j * n, (*chosen, (n, j)) if j else chosen) for j in copies]
-            yield None
-
-    for goal in range(sums.bit_length() - 1, -1, -1):
-        if sums >> goal & 1:
-            for f in exact(goal):
-                if f is None or (goal == room and sum(m for _, m in f) == 2):
+    for at in range(len(tables.high)):
+        yield tables.pair(at)
+    for goal in range(tables.suffix[0].bit_length() - 1, -1, -1):
+        if tables.suffix[0] >> goal & 1:
+            # Fillings with this sum, large pieces first; every path that is begun ends in one.
+            stack: list[tuple[int, int, Filling]] = [(0, goal, ())]
+            while stack:
+                k, rest, chosen = stack.pop()
+                if rest:
+                    stack += tables.further(k, rest, chosen)
+                    yield None
+                elif goal == room and sum(m for _, m in chosen) == 2:
                     yield None
                 else:
-                    yield f if allowed(f) else None
+                    yield chosen if tables.allowed(chosen) else None
 
 
 def pack_histogram(counts: dict[int, int], capacity: int = CAPACITY, steps: int = STEPS) -> list[tuple[Filling, int]]:
@@ -205,13 +246,14 @@ def pack_histogram(counts: dict[int, int], capacity: int = CAPACITY, steps: int
     least = _bound(left)
     taken, descended = 0, False
 
-    def children() -> Iterator[tuple[Filling, int] | None]:
-        first = int(np.flatnonzero(left)[-1])
-        left[first] -= 1
-        options = left.copy()
-        left[first] += 1
+    def others(first: int) -> np.ndarray:
+        out = left.copy()
+        out[first] -= 1
+        return out
+
+    def children(first: int, tables: Tables) -> Iterator[tuple[Filling, int] | None]:
         seen: list[Filling] = []
-        for f in fillings(options, capacity - first):
+        for f in _fillings(tables):
             if f is None:
                 yield None
                 continue
@@ -225,13 +267,18 @@ def pack_histogram(counts: dict[int, int], capacity: int = CAPACITY, steps: int
 
     path: list[tuple[Filling, int]] = []
     stack: list[Iterator] = []
+    held: list[Tables] = []  # of the stack's nodes
     used = 0
     while best_n > least:
         if not left.any():
             best, best_n = (list(path), used) if used < best_n else (best, best_n)
             descended = True
         elif used + _bound(left) < best_n and (taken < steps or not descended):
-            stack.append(children())
+            first = int(np.flatnonzero(left)[-1])
+            held.append(Tables(partial(others, first), capacity - first))
+            stack.append(children(first, held[-1]))
+            if len(held) > LIVE:
+                held[-LIVE - 1].release()
             taken += descended
         else:
             descended = True
@@ -252,6 +299,7 @@ def pack_histogram(counts: dict[int, int], capacity: int = CAPACITY, steps: int
                 break
             child = None
             stack.pop()
+            held.pop()
         if child is None:
             return best
         f, times = child
